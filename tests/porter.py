@@ -1,0 +1,95 @@
+"""A plain letter-by-letter reading of Porter's 1980 paper, to check the Column version against."""
+
+
+def _consonant(word, i):
+    if word[i] in "aeiou":
+        return False
+    if word[i] == "y":
+        return i == 0 or not _consonant(word, i - 1)
+    return True
+
+
+def _measure(stem):
+    kinds = [_consonant(stem, i) for i in range(len(stem))]
+    return sum(1 for a, b in zip(kinds, kinds[1:]) if not a and b)
+
+
+def _has_vowel(stem):
+    return any(not _consonant(stem, i) for i in range(len(stem)))
+
+
+def _double(stem):
+    return len(stem) > 1 and stem[-1] == stem[-2] and _consonant(stem, len(stem) - 1)
+
+
+def _cvc(stem):
+    n = len(stem)
+    return (
+        n > 2
+        and _consonant(stem, n - 1)
+        and not _consonant(stem, n - 2)
+        and _consonant(stem, n - 3)
+        and stem[-1] not in "wxy"
+    )
+
+
+def _longest(word, rules, least):
+    best = max((s for s in rules if word.endswith(s)), key=len, default=None)
+    if best is None:
+        return word
+    stem = word[: len(word) - len(best)]
+    if best == "ion" and not stem.endswith(("s", "t")):
+        return word
+    return stem + rules[best] if _measure(stem) > least else word
+
+
+SECOND = dict(
+    ational="ate", tional="tion", enci="ence", anci="ance", izer="ize", bli="ble",
+    alli="al", entli="ent", eli="e", ousli="ous", ization="ize", ation="ate",
+    ator="ate", alism="al", iveness="ive", fulness="ful", ousness="ous",
+    aliti="al", iviti="ive", biliti="ble", logi="log",
+)
+THIRD = dict(icate="ic", ative="", alize="al", iciti="ic", ical="ic", ful="", ness="")
+FOURTH = dict.fromkeys(
+    "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split(), ""
+)
+
+
+def stem(word):
+    if len(word) <= 2:
+        return word
+    if word.endswith(("sses", "ies")):
+        word = word[:-2]
+    elif word.endswith("s") and not word.endswith("ss"):
+        word = word[:-1]
+
+    if word.endswith("eed"):
+        if _measure(word[:-3]) > 0:
+            word = word[:-1]
+    else:
+        for suffix in ("ed", "ing"):
+            base = word[: -len(suffix)]
+            if word.endswith(suffix) and _has_vowel(base):
+                if base.endswith(("at", "bl", "iz")):
+                    base += "e"
+                elif _double(base):
+                    base = base if base[-1] in "lsz" else base[:-1]
+                elif _measure(base) == 1 and _cvc(base):
+                    base += "e"
+                word = base
+                break
+
+    if word.endswith("y") and _has_vowel(word[:-1]):
+        word = word[:-1] + "i"
+
+    word = _longest(word, SECOND, 0)
+    word = _longest(word, THIRD, 0)
+    word = _longest(word, FOURTH, 1)
+
+    if word.endswith("e"):
+        m = _measure(word[:-1])
+        if m > 1 or (m == 1 and not _cvc(word[:-1])):
+            word = word[:-1]
+    if word.endswith("ll") and _measure(word) > 1:
+        word = word[:-1]
+    return word
