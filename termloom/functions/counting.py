@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.binding import let
@@ -65,3 +65,14 @@ def terms_of(
     if words_only:
         tokens = F.filter(tokens, lambda t: F.rlike(t, F.lit(r"^\p{L}")))
     return F.transform(tokens, F.lower)
+
+
+def explode_map(df: DataFrame, column: str, *keep: str, names: tuple[str, str]) -> DataFrame:
+    """One row per entry of a map column, with its key and value under ``names``.
+
+    For a plain ``explode`` Spark adds a test for empty maps, which it pushes into the
+    projection that built them, so each map would be computed three times. The outer
+    form has no such test; the null row it gives for an empty map is dropped after.
+    """
+    rows = df.select(*keep, F.explode_outer(column).alias(*names))
+    return rows.where(F.col(names[0]).isNotNull())

@@ -6,6 +6,9 @@ tags of a trained model; pass a tagger to ``pos_tag`` for that.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,24 +38,33 @@ LEXICON = {
 }
 
 
-def tag_token(token: Column, position: Column) -> Column:
-    """Tag of ``token``, the ``position``-th of its line counted from 0."""
-    lowered = F.lower(token)
-    tag = F
-    for name, words in LEXICON.items():
-        tag = tag.when(lowered.isin(words), name)
+def tag_token(token: Column, lowered: Column, position: Column) -> Column:
+    """Tag of ``token``, the ``position``-th of its line counted from 0.
+
+    ``lowered`` is the token in lower case, named apart so that it is computed once.
+    """
     first = F.substring(token, 1, 1)
+    letter = (
+        first.between("a", "z") | first.between("A", "Z") | F.rlike(token, F.lit(r"^\p{L}"))
+    )
 
     def ends(*suffixes: str) -> Column:
-        return F.rlike(lowered, F.lit(f"(?:{'|'.join(suffixes)})$"))
+        return reduce(or_, [F.endswith(lowered, F.lit(suffix)) for suffix in suffixes])
 
-    return (
-        tag.when(F.rlike(token, F.lit(r"^\p{Nd}")), "NUM")
-        .when(first.isin(*"$%+=<>^|~"), "SYM")
-        .when(~F.rlike(token, F.lit(r"^\p{L}")), "PUNCT")
-        .when(ends("ly"), "ADV")
+    closed = F
+    for name, words in LEXICON.items():
+        closed = closed.when(lowered.isin(words), name)
+    open_class = (
+        F.when(ends("ly"), "ADV")
         .when(ends("ing", "ed", "ize"), "VERB")
         .when(ends("ous", "ful", "ive", "able", "al"), "ADJ")
         .when((position > 0) & (first != F.lower(first)), "PROPN")
         .otherwise("NOUN")
     )
+    return (
+        F.when(lowered.isin(sorted(set().union(*LEXICON.values()))), closed)
+        .when(letter, open_class)
+        .when(F.rlike(token, F.lit(r"^\p{Nd}")), "NUM")
+        .when(first.isin(*"$%+=<>^|~"), "SYM")
+        .otherwise("PUNCT")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.counting import count_values, terms_of
+from termloom.functions.counting import count_values, explode_map, terms_of
 from termloom.functions.scoring import DEFAULT_N_DOCS
 from termloom.operators.scoring import tfidf
 
@@ -25,7 +25,7 @@ def row_stripes(corpus: DataFrame, stopwords: Sequence[str] = (), **options) ->
 
 def explode_stripes(stripes: DataFrame) -> DataFrame:
     """Map entries as rows, ``(doc_id, term, tf)``."""
-    return stripes.select("doc_id", F.explode("stripe").alias("term", "tf"))
+    return explode_map(stripes, "stripe", "doc_id", names=("term", "tf"))
 
 
 def sum_stripes(stripes: DataFrame) -> DataFrame:
@@ -41,13 +41,15 @@ def term_stripes(tf: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
     size, so no task has to hold a map that grows with the document.
     """
     shards = (
-        tf.groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("entries"))
+        tf.groupBy(F.col("doc_id").alias("large_doc"))
+        .agg(F.count("tf").alias("entries"))
         .where(F.col("entries") > max_entries)
-        .select("doc_id", F.ceil(F.col("entries") / max_entries).alias("shards"))
+        .select("large_doc", F.ceil(F.col("entries") / max_entries).alias("shards"))
     )
     shard = F.pmod(F.xxhash64("term"), F.col("shards"))
-    dealt = tf.join(shards, "doc_id", "left").select(
+    # Null-safe, so that Spark adds no null test to one side and shares the counts.
+    same_doc = F.col("doc_id").eqNullSafe(F.col("large_doc"))
+    dealt = tf.join(shards, same_doc, "left").select(
         "doc_id", F.coalesce(shard, F.lit(0)).alias("shard"), "term", "tf"
     )
     # Partitioned by both columns: by doc_id alone, all shards would share a task.

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.functions.counting import count_values
+from termloom.functions.binding import let
+from termloom.functions.counting import count_values, explode_map
 from termloom.functions.tagging import tag_token
 from termloom.functions.tokenizing import tokenize
 from termloom.operators.tokens import explode_tokens
@@ -22,15 +23,18 @@ def _tagged_lines(lines: DataFrame, make_tagger: Callable[[], Tagger] | None) ->
     kept = [c for c in lines.columns if c != "text"]
     tokens = lines.select(*kept, tokenize("text").alias("tokens"))
     if make_tagger is None:
-        return tokens.withColumn("tags", F.transform("tokens", tag_token))
+        tag_bound = lambda t, i: let(F.lower(t), lambda lowered: tag_token(t, lowered, i))
+        return tokens.withColumn("tags", F.transform("tokens", tag_bound))
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = make_tagger()
         for batch in batches:
-            yield batch.assign(tags=[list(tagger(list(line))) for line in batch["tokens"]])
+            lines = ([] if line is None else list(line) for line in batch["tokens"])
+            yield batch.assign(tags=[list(tagger(line)) if line else [] for line in lines])
 
-    schema = T.StructType(tokens.schema.fields).add("tags", T.ArrayType(T.StringType()))
-    return tokens.where(F.size("tokens") > 0).mapInPandas(tag, schema)
+    tags = T.StructField("tags", T.ArrayType(T.StringType()))
+    schema = T.StructType([*tokens.schema.fields, tags])
+    return tokens.mapInPandas(tag, schema)
 
 
 def pos_tag(
@@ -47,7 +51,9 @@ def pos_tag(
     """
     make = (lambda: tagger) if tagger else make_tagger
     if make is None:
-        return explode_tokens(lines).withColumn("tag", tag_token(F.col("token"), F.col("pos")))
+        tokens = explode_tokens(lines).withColumn("lowered", F.lower("token"))
+        tag = tag_token(F.col("token"), F.col("lowered"), F.col("pos"))
+        return tokens.withColumn("tag", tag).drop("lowered")
     kept = [c for c in lines.columns if c != "text"]
     pairs = F.arrays_zip("tokens", "tags")
     return (
@@ -76,5 +82,5 @@ def pos_stripes(
 
 def pos_frequency_stripes(stripes: DataFrame) -> DataFrame:
     """Tag counts from per-line maps, ``(tag, n)``; equal to ``pos_frequency``."""
-    entries = stripes.select(F.explode("stripe").alias("tag", "n"))
+    entries = explode_map(stripes, "stripe", names=("tag", "n"))
     return entries.groupBy("tag").agg(F.sum("n").alias("n"))

@@ -52,6 +52,9 @@ def term_frequency(
             final = corpus_size(corpus).one_row_per_document
     if stem:
         counts = with_stem(counts, "term", "term")
+    # No term is null. Saying so here keeps joins from adding the test on one side only,
+    # which would make Spark compute the same counts again instead of sharing the shuffle.
+    counts = counts.where(F.col("term").isNotNull())
     if final:
         return counts.select("doc_id", "term", "tf")
     return counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
@@ -65,9 +68,10 @@ def stem_vocabulary(terms: DataFrame) -> DataFrame:
 def document_frequency(tf: DataFrame) -> DataFrame:
     """Number of documents holding each term, ``(term, df)``.
 
-    ``tf`` has one row per document and term, so its rows are counted.
+    ``tf`` has one row per document and term, so its rows are counted. Counting the
+    never-null ``tf`` keeps the plan below equal to that of the scores, to be shared.
     """
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return tf.groupBy("term").agg(F.count("tf").alias("df"))
 
 
 def idf(df: DataFrame, n_docs: float = DEFAULT_N_DOCS) -> DataFrame:

@@ -20,11 +20,13 @@ def read_corpus_text(spark: SparkSession, path: str | list[str], *, full_path: b
     folders count as one document unless ``full_path`` is set. ``line_no`` tells
     lines apart and grows within a file split; it is not a dense count.
     """
-    name = "_metadata.file_path" if full_path else "_metadata.file_name"
+    name = F.col("_metadata.file_path" if full_path else "_metadata.file_name")
+    # Spark gives the name URL-encoded, with a plus sign left as it is.
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     lines = spark.read.text(path)
     return spread(
         lines.select(
-            F.col(name).alias("doc_id"),
+            F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("doc_id"),
             F.monotonically_increasing_id().alias("line_no"),
             F.col("value").alias("text"),
         )
