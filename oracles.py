@@ -161,6 +161,11 @@ _DOCUMENT_FREQUENCY = f"WITH {_terms()}, {_DF} SELECT term, df FROM df"
 _TERM_FREQUENCY = f"WITH {_terms()}, {_TF} SELECT doc_id, term, tf FROM tf"
 _TAG_COUNTS = f"WITH {_TAGGED} SELECT tag, count(*) AS n FROM tagged GROUP BY tag"
 
+_STEMMED_TFIDF = f"""
+    WITH {_terms()}, {_STEMS}, {_STEMMED_TF}, {_STEMMED_DF}
+    SELECT tf.doc_id, tf.term, {_score()} AS score FROM tf JOIN df USING (term)
+"""
+
 ORACLES = {
     "token_counts": _TOKEN_COUNTS,
     "text_source_token_counts": _TOKEN_COUNTS,
@@ -197,10 +202,8 @@ ORACLES = {
     "stem_vocabulary": f"WITH {_terms()}, {_STEMS} SELECT word AS term, stem FROM stems",
     "stemmed_term_frequency": f"WITH {_terms()}, {_STEMS}, {_STEMMED_TF} SELECT doc_id, term, tf FROM tf",
     "stemmed_document_frequency": f"WITH {_terms()}, {_STEMS}, {_STEMMED_DF} SELECT term, df FROM df",
-    "stemmed_tfidf": f"""
-        WITH {_terms()}, {_STEMS}, {_STEMMED_TF}, {_STEMMED_DF}
-        SELECT tf.doc_id, tf.term, {_score()} AS score FROM tf JOIN df USING (term)
-    """,
+    "stemmed_tfidf": _STEMMED_TFIDF,
+    "indexed_tfidf": _STEMMED_TFIDF,
     "stemmed_tfidf_rarest_terms": f"""
         WITH {_terms()}, {_STEMS}, {_STEMMED_TF}, {_STEMMED_DF}, {_top("ASC")}
         SELECT tf.doc_id, tf.term, {_score(df="top.df")} AS score FROM tf JOIN top USING (term)

@@ -19,14 +19,27 @@ def _scored(joined: DataFrame, n_docs: float) -> DataFrame:
     )
 
 
-def tfidf(tf: DataFrame, df: DataFrame, n_docs: float = DEFAULT_N_DOCS) -> DataFrame:
+def tfidf(
+    tf: DataFrame, df: DataFrame, n_docs: float = DEFAULT_N_DOCS, *, common_terms: int = 0
+) -> DataFrame:
     """Score every term of every document, ``(doc_id, term, tf, df, score)``.
 
     A term missing from ``df`` has df 0. The join carries no hint: the vocabulary
     grows with the corpus, so the adaptive planner broadcasts it only if its
     measured size allows and otherwise splits the partitions of very common terms.
+
+    With ``common_terms`` = k, terms with more than 1/k of the sum of all df are
+    scored through a broadcast. There are fewer than k of them whatever the corpus,
+    yet they make up most of ``tf``, which is then not shuffled; the other terms are
+    joined as above. ``tf`` is read twice for it, so it should be a written table.
     """
-    return _scored(tf.join(df.select("term", "df"), "term", "left"), n_docs)
+    df = df.select("term", "df")
+    if not common_terms:
+        return _scored(tf.join(df, "term", "left"), n_docs)
+    total = df.agg(F.sum("df")).scalar()
+    common = F.broadcast(df.where(F.col("df") * common_terms > total))
+    rest = tf.join(common.select("term"), "term", "left_anti").join(df, "term", "left")
+    return _scored(tf.join(common, "term").unionByName(rest), n_docs)
 
 
 def tfidf_for_terms(tf: DataFrame, terms: DataFrame, n_docs: float = DEFAULT_N_DOCS) -> DataFrame:

@@ -26,9 +26,10 @@ def term_frequency(
     """Occurrences of each term in each document, ``(doc_id, term, tf)``.
 
     Each row of the corpus is counted in place first. If every document is one row,
-    those counts are final and nothing is shuffled; otherwise they are added up by
-    document and term, spread over all tasks however large one document is. Leave
-    ``one_row_per_document`` unset to have it checked by a job over ``doc_id`` alone.
+    those counts are final and nothing is shuffled; otherwise, or with ``stem``, they
+    are added up by document and term, spread over all tasks however large one
+    document is. Leave ``one_row_per_document`` unset to have it checked by a job over
+    ``doc_id`` alone; a corpus of lines, with a ``line_no``, needs no check.
 
     ``stopwords`` is a list small enough to ship with the plan, or a table
     ``(word)`` of any size, which is joined to the tokens instead.
@@ -47,9 +48,12 @@ def term_frequency(
             "text", stopwords, case_insensitive=case_insensitive, words_only=words_only
         )
         counts = corpus.select("doc_id", F.inline(count_values(terms)))
-        final = one_row_per_document if not stem else False
-        if final is None:
+        if stem or "line_no" in corpus.columns:
+            final = False
+        elif one_row_per_document is None:
             final = corpus_size(corpus).one_row_per_document
+        else:
+            final = one_row_per_document
     if stem:
         counts = with_stem(counts, "term", "term")
     # No term is null. Saying so here keeps joins from adding the test on one side only,

@@ -13,6 +13,9 @@ from termloom.operators.terms import document_frequency, term_frequency
 from termloom.sinks.tables import write_table
 from termloom.sources.corpus import corpus_size
 
+# A broadcast of fewer terms than this is a few megabytes.
+COMMON_TERMS = 100_000
+
 
 @dataclass(frozen=True)
 class Index:
@@ -21,8 +24,8 @@ class Index:
     tfidf: DataFrame
 
 
-def _n_docs(corpus: DataFrame, n_docs: float | str) -> float:
-    return float(corpus_size(corpus).documents) if n_docs == "count" else float(n_docs)
+def _number(corpus: DataFrame, n_docs: float | str) -> float:
+    return float(corpus_size(corpus).documents if n_docs == "count" else n_docs)
 
 
 def corpus_tfidf(
@@ -32,13 +35,16 @@ def corpus_tfidf(
     n_docs: float | str = DEFAULT_N_DOCS,
     **options,
 ) -> DataFrame:
-    """TF-IDF of a corpus as one lazy plan, ``(doc_id, term, tf, df, score)``.
+    """TF-IDF of a corpus as one plan, ``(doc_id, term, tf, df, score)``.
 
     ``n_docs="count"`` takes the number of documents in the corpus. Options are
-    those of ``term_frequency``.
+    those of ``term_frequency``. By default the counts are shuffled even if every
+    document is one row: the df table and the scores then share that shuffle, which
+    costs less than tokenizing the corpus twice.
     """
+    options.setdefault("one_row_per_document", False)
     tf = term_frequency(corpus, stopwords, **options)
-    return tfidf(tf, document_frequency(tf), _n_docs(corpus, n_docs))
+    return tfidf(tf, document_frequency(tf), _number(corpus, n_docs))
 
 
 def build_index(
@@ -47,15 +53,16 @@ def build_index(
     stopwords: Sequence[str] | DataFrame = (),
     *,
     n_docs: float | str = DEFAULT_N_DOCS,
+    common_terms: int = COMMON_TERMS,
     **options,
 ) -> Index:
     """TF-IDF of a corpus in three stages, each a table in ``folder``.
 
     The text is read and tokenized once, a lost executor costs the running stage
-    only, and the last join is planned with the true size of the df table.
-    ``folder`` must be one that all executors share.
+    only, and the last join is planned with the true size of the df table; see
+    ``tfidf`` for ``common_terms``. ``folder`` must be one that all executors share.
     """
     tf = write_table(term_frequency(corpus, stopwords, **options), f"{folder}/tf")
     df = write_table(document_frequency(tf), f"{folder}/df")
-    scores = write_table(tfidf(tf, df, _n_docs(corpus, n_docs)), f"{folder}/tfidf")
-    return Index(tf, df, scores)
+    scores = tfidf(tf, df, _number(corpus, n_docs), common_terms=common_terms)
+    return Index(tf, df, write_table(scores, f"{folder}/tfidf"))

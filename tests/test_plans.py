@@ -11,6 +11,7 @@ from termloom import (
     pos_stripes,
     remove_stopwords,
     row_stripes,
+    shared_folder,
     stopword_list,
     sum_stripes,
     term_frequency,
@@ -18,16 +19,18 @@ from termloom import (
     tfidf_for_terms,
     tfidf_stripes,
     top_terms_by_df,
+    write_table,
 )
 
 STOP = stopword_list()
 
 
-def executed(df):
-    """The final adaptive plan, after running the query."""
+def executed(df, whole=False):
+    """The final adaptive plan, after running the query; ``whole`` adds the initial one."""
     query = df._jdf.queryExecution()
     query.toRdd().count()
-    return query.executedPlan().toString().split("== Initial Plan ==")[0]
+    plan = query.executedPlan().toString()
+    return plan if whole else plan.split("== Initial Plan ==")[0]
 
 
 def raw(spark):
@@ -97,3 +100,21 @@ def test_a_large_vocabulary_is_not_broadcast(spark):
     finally:
         spark.conf.set(key, before)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_only_uncommon_terms_are_shuffled_for_their_score(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        tf = write_table(term_frequency(raw(spark), STOP), shared_folder(spark))
+        df = write_table(document_frequency(tf), shared_folder(spark))
+        query = tfidf(tf, df, common_terms=1000)
+        plan = executed(query, whole=True)
+        assert query.count() == tf.count()
+        assert 0 < df.where(f"df * 1000 > {tf.count()}").count() < 1000
+    finally:
+        spark.conf.set(key, before)
+    assert re.search(r"BroadcastHashJoin .*Inner", plan)
+    assert re.search(r"BroadcastHashJoin .*LeftAnti", plan)
+    assert re.search(r"SortMergeJoin .*LeftOuter", plan)

@@ -129,7 +129,9 @@ def test_one_document_and_one_term_hold_a_third_of_everything(spark):
     df = defaultdict(int)
     for _, term in expected:
         df[term] += 1
-    scores = {(r.doc_id, r.term): r.score for r in tfidf(tf, document_frequency(tf)).collect()}
-    assert scores.keys() == expected.keys()
-    for (doc, term), n in expected.items():
-        assert scores[doc, term] == pytest.approx(n * math.log10(10000 / (df[term] + 1)))
+    for common_terms in (0, 3, 100_000):
+        scored = tfidf(tf, document_frequency(tf), common_terms=common_terms).collect()
+        assert len(scored) == len(expected)
+        for row in scored:
+            score = expected[row.doc_id, row.term] * math.log10(10000 / (df[row.term] + 1))
+            assert row.score == pytest.approx(score)
