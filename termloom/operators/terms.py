@@ -10,10 +10,36 @@ from pyspark.sql import functions as F
 from termloom.functions.counting import count_values, terms_of
 from termloom.functions.scoring import DEFAULT_N_DOCS, idf_value
 from termloom.functions.stemming import with_stem
-from termloom.operators.tokens import explode_tokens, normalize, remove_stopwords
+from termloom.functions.tokenizing import tokenize
+from termloom.operators.tokens import normalize, remove_stopwords
 from termloom.sources.corpus import corpus_size
 
 
+def _row_counts(corpus: DataFrame, stopwords: Sequence[str], **options: bool) -> DataFrame:
+    """Terms counted within each row of the corpus, ``(doc_id, term, tf)``; no shuffle."""
+    counts = count_values(terms_of("text", stopwords, **options))
+    return corpus.select("doc_id", F.inline(counts))
+
+
+def _occurrences(
+    corpus: DataFrame,
+    stopwords: Sequence[str] | DataFrame,
+    *,
+    case_insensitive: bool,
+    words_only: bool,
+) -> DataFrame:
+    """One row for each occurrence of a term, ``(doc_id, term, tf)`` with tf = 1."""
+    tokens = corpus.select("doc_id", F.explode(tokenize("text")).alias("token"))
+    if words_only:
+        tokens = tokens.where(F.rlike("token", F.lit(r"^\p{L}")))
+    if isinstance(stopwords, DataFrame):
+        tokens = remove_stopwords(tokens, stopwords, case_insensitive=case_insensitive)
+    elif stopwords:
+        compared = F.lower("token") if case_insensitive else F.col("token")
+        tokens = tokens.where(~compared.isin(list(stopwords)))
+    return normalize(tokens).withColumn("tf", F.lit(1).cast("bigint"))
+
+
 def term_frequency(
     corpus: DataFrame,
     stopwords: Sequence[str] | DataFrame = (),
@@ -25,42 +51,37 @@ def term_frequency(
 ) -> DataFrame:
     """Occurrences of each term in each document, ``(doc_id, term, tf)``.
 
-    Each row of the corpus is counted in place first. If every document is one row,
-    those counts are final and nothing is shuffled; otherwise, or with ``stem``, they
-    are added up by document and term, spread over all tasks however large one
-    document is. Leave ``one_row_per_document`` unset to have it checked by a job over
-    ``doc_id`` alone; a corpus of lines, with a ``line_no``, needs no check.
+    If every document is one row of the corpus, each row is counted in place and
+    nothing is shuffled. Otherwise, or with ``stem``, counts are added up by document
+    and term, spread over all tasks however large one document is. Leave
+    ``one_row_per_document`` unset to have it checked by a job over ``doc_id`` alone;
+    a corpus of lines, with a ``line_no``, needs no check.
 
     ``stopwords`` is a list small enough to ship with the plan, or a table
     ``(word)`` of any size, which is joined to the tokens instead.
     """
-    if isinstance(stopwords, DataFrame):
-        tokens = explode_tokens(corpus)
-        if words_only:
-            tokens = tokens.where(F.rlike("token", F.lit(r"^\p{L}")))
-        terms = normalize(
-            remove_stopwords(tokens, stopwords, case_insensitive=case_insensitive)
-        )
-        counts = terms.withColumn("tf", F.lit(1).cast("bigint"))
+    options = {"case_insensitive": case_insensitive, "words_only": words_only}
+    joined = isinstance(stopwords, DataFrame)
+    if stem or joined or "line_no" in corpus.columns:
         final = False
+    elif one_row_per_document is None:
+        final = corpus_size(corpus).one_row_per_document
+    else:
+        final = one_row_per_document
+
+    # Stemming is dear, so there the terms of a row are counted before it. Without it,
+    # counting twice costs more than the partial aggregation saves by it.
+    if not joined and (final or stem):
+        counts = _row_counts(corpus, stopwords, **options)
     else:
-        terms = terms_of(
-            "text", stopwords, case_insensitive=case_insensitive, words_only=words_only
-        )
-        counts = corpus.select("doc_id", F.inline(count_values(terms)))
-        if stem or "line_no" in corpus.columns:
-            final = False
-        elif one_row_per_document is None:
-            final = corpus_size(corpus).one_row_per_document
-        else:
-            final = one_row_per_document
+        counts = _occurrences(corpus, stopwords, **options)
     if stem:
         counts = with_stem(counts, "term", "term")
     # No term is null. Saying so here keeps joins from adding the test on one side only,
     # which would make Spark compute the same counts again instead of sharing the shuffle.
     counts = counts.where(F.col("term").isNotNull())
     if final:
-        return counts.select("doc_id", "term", "tf")
+        return counts
     return counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
