@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.scoring import DEFAULT_N_DOCS, idf_value
+from termloom.operators.joins import same_value
 
 
 def _scored(joined: DataFrame, n_docs: float) -> DataFrame:
@@ -19,6 +20,12 @@ def _scored(joined: DataFrame, n_docs: float) -> DataFrame:
     )
 
 
+def _with_df(tf: DataFrame, df: DataFrame) -> DataFrame:
+    """Add ``df`` to the counts, null for unknown terms."""
+    known = df.select(F.col("term").alias("known_term"), "df")
+    return tf.join(known, same_value(F.col("term"), F.col("known_term")), "left").drop("known_term")
+
+
 def tfidf(
     tf: DataFrame, df: DataFrame, n_docs: float = DEFAULT_N_DOCS, *, common_terms: int = 0
 ) -> DataFrame:
@@ -35,11 +42,11 @@ def tfidf(
     """
     df = df.select("term", "df")
     if not common_terms:
-        return _scored(tf.join(df, "term", "left"), n_docs)
+        return _scored(_with_df(tf, df), n_docs)
     total = df.agg(F.sum("df")).scalar()
     common = F.broadcast(df.where(F.col("df") * common_terms > total))
-    rest = tf.join(common.select("term"), "term", "left_anti").join(df, "term", "left")
-    return _scored(tf.join(common, "term").unionByName(rest), n_docs)
+    rest = tf.join(common.select("term"), "term", "left_anti")
+    return _scored(tf.join(common, "term").unionByName(_with_df(rest, df)), n_docs)
 
 
 def tfidf_for_terms(tf: DataFrame, terms: DataFrame, n_docs: float = DEFAULT_N_DOCS) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.counting import count_values, explode_map, terms_of
 from termloom.functions.scoring import DEFAULT_N_DOCS
+from termloom.operators.joins import same_value
 from termloom.operators.scoring import tfidf
 
 MAX_ENTRIES = 100_000
@@ -47,8 +48,7 @@ def term_stripes(tf: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
         .select("large_doc", F.ceil(F.col("entries") / max_entries).alias("shards"))
     )
     shard = F.pmod(F.xxhash64("term"), F.col("shards"))
-    # Null-safe, so that Spark adds no null test to one side and shares the counts.
-    same_doc = F.col("doc_id").eqNullSafe(F.col("large_doc"))
+    same_doc = same_value(F.col("doc_id"), F.col("large_doc"))
     dealt = tf.join(shards, same_doc, "left").select(
         "doc_id", F.coalesce(shard, F.lit(0)).alias("shard"), "term", "tf"
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.tokenizing import split_lines, tokenize
+from termloom.operators.joins import same_value
 
 
 def explode_lines(corpus: DataFrame) -> DataFrame:
@@ -31,10 +32,10 @@ def remove_stopwords(
     An anti join without a hint: Spark broadcasts the list if its size allows
     and otherwise shuffles, with the skew handling of the adaptive planner.
     """
-    words = stopwords.select("word")
+    token, word = F.col("token"), F.col("word")
     if case_insensitive:
-        return tokens.join(words, F.lower("token") == F.lower("word"), "left_anti")
-    return tokens.join(words, F.col("token") == F.col("word"), "left_anti")
+        token, word = F.lower(token), F.lower(word)
+    return tokens.join(stopwords.select("word"), same_value(token, word), "left_anti")
 
 
 def normalize(tokens: DataFrame) -> DataFrame:

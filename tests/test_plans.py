@@ -118,3 +118,29 @@ def test_only_uncommon_terms_are_shuffled_for_their_score(spark):
     assert re.search(r"BroadcastHashJoin .*Inner", plan)
     assert re.search(r"BroadcastHashJoin .*LeftAnti", plan)
     assert re.search(r"SortMergeJoin .*LeftOuter", plan)
+
+
+def test_a_very_common_term_is_split_in_the_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        corpus = spark.range(0, 60_000, 1, 16).selectExpr(
+            "id AS doc_id", "concat('hot w', id % 500, ' x', id % 499) AS text"
+        )
+        tf = term_frequency(corpus, one_row_per_document=True)
+        scores = tfidf(tf, document_frequency(tf))
+        plan = executed(scores)
+        # hot, w, x and two numbers each, which are the same for the first 499 documents
+        assert scores.count() == 5 * 60_000 - 499
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan

@@ -64,3 +64,30 @@ def test_empty_maps_vanish(micro):
     stripes = row_stripes(micro, STOP)
     assert stripes.count() == 3
     assert {r.doc_id for r in explode_stripes(stripes).collect()} == {"d1", "d2"}
+
+
+def test_sharding_splits_a_skewed_document(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tf = spark.range(0, 90_000, 1, 16).selectExpr(
+            "if(id % 3 = 0, -1, id % 500) AS doc_id", "concat('t', id) AS term", "1L AS tf"
+        )
+        stripes = term_stripes(tf, max_entries=5000)
+        query = stripes._jdf.queryExecution()
+        query.toRdd().count()
+        plan = query.executedPlan().toString().split("== Initial Plan ==")[0]
+        assert stripes.agg(F.sum(F.size("stripe"))).first()[0] == 90_000
+        assert stripes.where("doc_id = -1").count() == 6
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
