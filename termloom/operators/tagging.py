@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,14 +23,25 @@ def _tagged_lines(lines: DataFrame, make_tagger: Callable[[], Tagger] | None) ->
     kept = [c for c in lines.columns if c != "text"]
     tokens = lines.select(*kept, tokenize("text").alias("tokens"))
     if make_tagger is None:
-        tag_bound = lambda t, i: let(F.lower(t), lambda lowered: tag_token(t, lowered, i))
-        return tokens.withColumn("tags", F.transform("tokens", tag_bound))
+
+        def by_rule(token: Column, position: Column) -> Column:
+            return let(F.lower(token), lambda lowered: tag_token(token, lowered, position))
+
+        return tokens.withColumn("tags", F.transform("tokens", by_rule))
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = make_tagger()
+
+        def tags_of(line) -> list[str]:
+            if line is None or not len(line):
+                return []
+            tags = list(tagger(list(line)))
+            if len(tags) != len(line):
+                raise ValueError(f"the tagger gave {len(tags)} tags for {len(line)} tokens")
+            return tags
+
         for batch in batches:
-            lines = ([] if line is None else list(line) for line in batch["tokens"])
-            yield batch.assign(tags=[list(tagger(line)) if line else [] for line in lines])
+            yield batch.assign(tags=[tags_of(line) for line in batch["tokens"]])
 
     tags = T.StructField("tags", T.ArrayType(T.StringType()))
     schema = T.StructType([*tokens.schema.fields, tags])

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -52,3 +53,9 @@ def test_own_tagger_sees_whole_lines_in_order(spark):
     assert rows(pos_frequency_stripes(pos_stripes(df, tagger=numbered))) == [
         ("1of1", 1), ("1of3", 1), ("2of3", 1), ("3of3", 1)
     ]
+
+
+def test_a_tagger_must_give_one_tag_per_token(spark):
+    df = spark.createDataFrame([(1, 0, "a b")], "doc_id int, line_no int, text string")
+    with pytest.raises(Exception, match="1 tags for 2 tokens"):
+        pos_tag(df, tagger=lambda tokens: ["X"]).collect()
