@@ -1,3 +1,3 @@
-from termloom.sinks.tables import shared_folder, write_table, write_tsv
+from termloom.sinks.tables import drop_folder, shared_folder, write_table, write_tsv
 
-__all__ = ["shared_folder", "write_table", "write_tsv"]
+__all__ = ["drop_folder", "shared_folder", "write_table", "write_tsv"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,10 +40,21 @@ def write_table(df: DataFrame, path: str, *, mode: str = "errorifexists") -> Dat
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``."""
+    """A fresh path below a folder that the driver and all executors share.
+
+    That is the folder named in ``spark.checkpoint.dir``, else the warehouse folder. Off a
+    local master the latter must not be a local path, as each executor has its own disk.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = base.startswith(("file:", "/"))
+        if local and not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="termloom-")
     return f"{base.rstrip('/')}/termloom-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing will read again, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
