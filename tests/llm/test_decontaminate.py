@@ -1,0 +1,75 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from termloom.llm.decontaminate import find_contamination, remove_contamination
+from termloom.llm.queries import op8_decontamination
+
+SF_DIR = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def plain_words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lowered)
+
+
+def plain_marks(text, items, window=10):
+    words, hit, found = plain_words(text), set(), set()
+    for item, content in items:
+        own = plain_words(content)
+        size = min(window, len(own))
+        windows = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)} if own else set()
+        for i in range(len(words) - size + 1):
+            if tuple(words[i : i + size]) in windows:
+                hit.update(range(i, i + size))
+                found.add(str(item))
+    return len(words), len(hit), sorted(found)
+
+
+def test_query_equals_brute_force(spark):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    got = {r["doc_id"]: tuple(r)[1:] for r in op8_decontamination(spark, SF_DIR).collect()}
+    for r in docs:
+        n, hit, found = plain_marks(r["text"], items)
+        digest = hashlib.sha256(",".join(found).encode()).hexdigest()
+        assert got[r["doc_id"]] == (n, hit, len(found), digest, hit > 0)
+    assert any(v[1] for v in got.values())
+
+
+def test_random_texts_of_few_words(spark):
+    rng = random.Random(3)
+    text = lambda n: " ".join(rng.choice("ab") for _ in range(n))
+    items = [(i, text(rng.randrange(1, 12) if i > 2 else 20)) for i in range(12)]
+    items += [(50, None), (51, "..."), (52, "a B"), (52, "a b")]
+    docs = [(i, text(rng.randrange(60)) + (" z " + text(15)) * 2) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for window, most_bytes in ((5, 1 << 20), (5, 20), (10, 60)):
+        marked = find_contamination(frame, bench, window=window, most_bytes=most_bytes)
+        for r in marked.collect():
+            want = plain_marks(docs[r["doc_id"]][1], items, window)
+            assert (r["n_words"], r["n_hit"], r["items"]) == want
+            assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_hit"]
+
+
+def test_removing_spans_and_documents(spark):
+    phrase = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame(
+        [(1, f"Keep this and that, é. {phrase.upper()}! And what follows, all of it; so it is more than half."),
+         (2, phrase), (3, None), (4, "clean"), (5, "")],
+        "doc_id bigint, text string",
+    ).withColumn("note", F.lit("x"))
+    bench = spark.createDataFrame([(1, phrase)], "item_id bigint, text string")
+    out = remove_contamination(docs, bench)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert set(got) == {1, 3, 4, 5}
+    assert got[1] == "Keep this and that, é. ! And what follows, all of it; so it is more than half."
+    assert (got[3], got[4], got[5]) == (None, "clean", "")
+    assert remove_contamination(docs, bench, max_span=10, max_coverage=1.0).count() == 5
+    assert remove_contamination(docs.limit(0), bench).count() == 0
+    assert {r["n_hit"] for r in find_contamination(docs, bench.limit(0)).collect()} == {0}
