@@ -19,11 +19,15 @@ def duck():
     return con
 
 
+# The training-data operators have tests of their own in tests/llm.
+OWN = sorted(set(registry.queries()) - set(registry.llm.QUERIES if registry.llm else ()) - {"pipeline"})
+
+
 def test_every_query_has_its_sql():
-    assert set(ORACLES) == set(registry.queries())
+    assert set(OWN) <= set(ORACLES) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_its_sql(spark, duck, name):
     got = registry.queries()[name](spark, SF_DIR).toPandas()
     want = duck.execute(ORACLES[name]).df()
