@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.decontaminate import find_contamination
 from termloom.llm.simhash import simhash_components
+from termloom.llm.vectors import vector_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors with a cosine of 0.9 or more."""
+    return vector_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +41,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_simhash": op5_simhash,
+    "op7_vector_duplicates": op7_vector_duplicates,
     "op8_decontamination": op8_decontamination,
 }
 
