@@ -8,12 +8,29 @@ from pyspark.sql import functions as F
 from termloom.llm.decontaminate import find_contamination
 from termloom.llm.simhash import simhash_components
 from termloom.llm.vectors import vector_duplicates
+from termloom.llm.warc import base32_sha1, read_warc, write_warc
+from termloom.sinks.tables import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    folder = shared_folder(spark)
+    write_warc(_table(spark, sf_dir, "pages"), folder, record_id="page_id", uri="url", payload="html")
+    records = read_warc(spark, folder)
+    revisit = F.col("record_type") == "revisit"
+    return records.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        F.when(revisit, F.col("digest")).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash_components(_table(spark, sf_dir, "documents"))
@@ -40,9 +57,29 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op5_simhash": op5_simhash,
     "op7_vector_duplicates": op7_vector_duplicates,
     "op8_decontamination": op8_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+# Five hexadecimal digits are four of base 32.
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_OP1 = f"""
+    WITH hashed AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+    ),
+    digested AS (
+        SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda i: array_to_string(
+            list_transform([15, 10, 5, 0], lambda shift: substr('{_BASE32}',
+                1 + ((('0x' || substr(hex, 1 + 5 * i::INT, 5))::INT >> shift) & 31), 1)), '')), '') AS payload_digest
+        FROM hashed
+    ),
+    latest AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS latest FROM digested)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> latest THEN latest END AS refers_to
+    FROM latest
+"""
+
+ORACLES: dict[str, str] = {"op1_warc": _OP1}
