@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.decontaminate import find_contamination
+from termloom.llm.line_dedup import remove_boilerplate
 from termloom.llm.simhash import simhash_components
+from termloom.llm.token_files import read_token_files, write_token_files
 from termloom.llm.vectors import vector_duplicates
 from termloom.llm.warc import base32_sha1, read_warc, write_warc
 from termloom.sinks.tables import shared_folder
@@ -31,6 +33,23 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that three sources or more share."""
+    out = remove_boilerplate(_table(spark, sf_dir, "documents"), removed="n_removed")
+    return out.select("doc_id", "text", "n_removed")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Every document encoded, written in id order and read back."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    folder = shared_folder(spark)
+    write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash_components(_table(spark, sf_dir, "documents"))
@@ -58,6 +77,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_line_dedup": op2_line_dedup,
+    "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
     "op7_vector_duplicates": op7_vector_duplicates,
     "op8_decontamination": op8_decontamination,
@@ -82,4 +103,22 @@ _OP1 = f"""
     FROM latest
 """
 
-ORACLES: dict[str, str] = {"op1_warc": _OP1}
+_OP2 = r"""
+    WITH listed AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS own FROM documents),
+    lines AS (SELECT doc_id, source, unnest(own) AS line, generate_subscripts(own, 1) AS n FROM listed),
+    plain AS (
+        SELECT *, trim(regexp_replace(lower(line), '[ \t\n\v\f\r]+', ' ', 'g')) AS key FROM lines
+    ),
+    long AS (SELECT * FROM plain WHERE length(key) - length(replace(key, ' ', '')) >= 2),
+    spread AS (SELECT key, min((doc_id, n)) AS first FROM long GROUP BY key HAVING count(DISTINCT source) >= 3),
+    gone AS (
+        SELECT doc_id, list(n) AS ns FROM long JOIN spread USING (key) WHERE (doc_id, n) <> first GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(len(ns), 0)::BIGINT AS n_removed,
+           CASE WHEN ns IS NULL THEN text
+                ELSE coalesce(array_to_string(list_filter(own, lambda line, i: NOT list_contains(ns, i)), chr(10)), '')
+           END AS text
+    FROM listed LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_warc": _OP1, "op2_line_dedup": _OP2}

@@ -1,0 +1,61 @@
+import duckdb
+from pyspark.sql import functions as F
+
+from termloom.llm.line_dedup import remove_boilerplate, site_spread
+from termloom.llm.queries import ORACLES, op2_line_dedup
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plain(rows, min_sites=3, min_words=3):
+    """rows: (doc_id, site, text); first places by (doc_id, line)."""
+    key = lambda line: " ".join(line.lower().split())
+    sites, first = {}, {}
+    for doc, site, text in rows:
+        for n, line in enumerate((text or "").split("\n")):
+            k = key(line)
+            if len(k.split(" ")) >= min_words:
+                sites.setdefault(k, set()).update([site] if site is not None else [])
+                first[k] = min(first.get(k, (1 << 60, 0)), (doc, n))
+    out = []
+    for doc, _, text in rows:
+        kept = [
+            line for n, line in enumerate((text or "").split("\n"))
+            if len(sites.get(key(line), ())) < min_sites or first[key(line)] == (doc, n)
+        ]
+        out.append((doc, None if text is None else "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def test_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    columns = "doc_id, n_removed, text"
+    want = con.sql(f"SELECT {columns} FROM ({ORACLES['op2_line_dedup']})").fetchall()
+    got = op2_line_dedup(spark, SF_DIR).select(*columns.split(", ")).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert sum(r["n_removed"] for r in got)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, "a", "One two three\nkeep me here now\nshort"), (2, "b", "one  TWO three\nshort"), (3, "c", "x y z\none two three "),
+        (4, "c", "one two three"), (4, "c", "one two three"), (5, None, "x y z\n\nx y z"), (6, "a", None), (7, "a", ""),
+        (8, None, "x y z"), (9, "d", "short\nx y z\none two three\none two three"), (10, "a", "w " * 50_000), (11, "b", "x y z"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").withColumns({"key": F.lit(1), "n": F.lit("n")})
+    out = remove_boilerplate(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == plain(rows)
+    assert remove_boilerplate(docs.limit(0)).count() == 0
+    unnamed = docs.withColumn("doc_id", F.lit(None).cast("bigint"))
+    assert unnamed.count() == remove_boilerplate(unnamed).count()
+
+
+def test_counts_near_the_threshold_are_exact(spark):
+    rows = spark.range(0, 400).selectExpr("id % 4 AS line", "id").where("id >= line * 20")
+    lines = rows.selectExpr("cast(line AS string) AS key", "cast(id AS string) AS site")
+    sizes = {r["key"]: r["count"] for r in lines.groupBy("key").count().collect()}
+    for threshold in (*sizes.values(), max(sizes.values()) + 1):
+        got = {r["key"] for r in site_spread(lines, threshold).collect()}
+        assert got == {k for k, n in sizes.items() if n >= threshold}
