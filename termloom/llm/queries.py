@@ -10,7 +10,7 @@ from termloom.llm.line_dedup import remove_boilerplate
 from termloom.llm.simhash import simhash_components
 from termloom.llm.token_files import read_token_files, write_token_files
 from termloom.llm.vectors import vector_duplicates
-from termloom.llm.warc import base32_sha1, read_warc, write_warc
+from termloom.llm.warc import read_warc, write_warc
 from termloom.sinks.tables import shared_folder
 
 
@@ -27,7 +27,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         F.col("record_id").cast("bigint").alias("page_id"),
         "payload_bytes",
-        F.when(revisit, F.col("digest")).otherwise(base32_sha1(F.col("payload"))).alias("payload_digest"),
+        F.when(revisit, F.col("digest")).otherwise(F.col("payload_sha1")).alias("payload_digest"),
         "record_type",
         F.col("refers_to").cast("bigint").alias("refers_to"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from termloom.sinks.tables import drop_folder, shared_folder, write_table
+from termloom.sinks.tables import drop_folder, shared_folder
 
 
 class Stage:
@@ -16,7 +16,8 @@ class Stage:
     def __init__(self, df: DataFrame):
         self.spark = df.sparkSession
         self.path = shared_folder(self.spark)
-        self.df = write_table(df, self.path)
+        df.write.option("compression", "zstd").parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
         drop_folder(self.spark, self.path)

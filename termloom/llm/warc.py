@@ -118,7 +118,13 @@ def _candidates(spark: SparkSession, path: str) -> DataFrame:
             "head_bytes": F.octet_length("head").cast("bigint"),
             "body_bytes": F.when(length != "", length.cast("bigint")),
         }
-    )
+    ).withColumn("sha1", base32_sha1(_block(F.col("value"))))
+
+
+def _block(value: Column) -> Column:
+    """The payload in the bytes after a magic; empty if the length is unknown."""
+    start = (F.col("head_bytes") + len(_END) + 1).cast("int")
+    return F.coalesce(F.substring(value, start, F.col("body_bytes").cast("int")), F.lit(b""))
 
 
 def _split_links(rows: pd.DataFrame) -> pd.DataFrame:
@@ -229,7 +235,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     Columns: ``file``, ``offset``, ``record_type``, ``record_id``, ``uri``, ``refers_to``,
     ``digest`` (as in the header, without ``sha1:``), ``payload_bytes`` (of the full payload
-    also for revisits), ``payload``, ``intact`` (false if no record or end of file follows).
+    also for revisits), ``payload``, ``payload_sha1`` (of what was read, in base 32), ``intact``
+    (false if no record or end of file follows). Leave out ``payload`` if the digest is enough:
+    payloads are then not shuffled.
 
     Every place where a line begins with the magic is a candidate with a successor, which its
     Content-Length gives. Only candidates that the start of the file leads to are records (see
@@ -242,12 +250,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     # A block that its row does not hold whole goes on in the rows after it.
     after = F.col("bytes") - F.col("head_bytes") - len(_END)
     spans = stage(whole.where(after < F.col("body_bytes")).select("file", "at", "place", "following"))
-    whole = whole.join(_gather(table, candidates, spans), ["file", "at"], "left")
-    block = F.substring(F.coalesce("gathered", "value"), (F.col("head_bytes") + len(_END) + 1).cast("int"), F.col("body_bytes").cast("int"))
-    payload = F.coalesce(block, F.lit(b""))
+    # Mostly few rows, so that they are broadcast by their size and no payload is shuffled.
+    gathered = stage(_gather(table, candidates, spans))
+    whole = whole.join(gathered, ["file", "at"], "left")
+    payload = _block(F.coalesce("gathered", "value"))
+    sha1 = F.when(F.col("gathered").isNull(), F.col("sha1")).otherwise(base32_sha1(_block(F.col("gathered"))))
+    size = F.when(F.col("gathered").isNull() & (after < F.col("body_bytes")), after).otherwise(F.col("body_bytes"))
     header = lambda name: F.nullif(F.regexp_extract("head", rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
     bare = lambda name: F.nullif(F.regexp_extract(header(name), r"^<urn:record:(.*)>$", 1), F.lit(""))
-    full_bytes = F.coalesce(header("WARC-Payload-Length").cast("bigint"), F.octet_length(payload).cast("bigint"))
+    full_bytes = F.coalesce(header("WARC-Payload-Length").cast("bigint"), F.greatest(size, F.lit(0)))
     return whole.select(
         "file",
         F.greatest(F.col("place") - (_CUT - 1), F.lit(0)).alias("offset"),
@@ -257,6 +268,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         bare("WARC-Refers-To").alias("refers_to"),
         F.regexp_replace(header("WARC-Payload-Digest"), "^sha1:", "").alias("digest"),
         full_bytes.alias("payload_bytes"),
+        sha1.alias("payload_sha1"),
         payload.alias("payload"),
         "intact",
     )
@@ -274,7 +286,8 @@ def _gather(table: DataFrame, candidates: DataFrame, spans: DataFrame) -> DataFr
     )
     places = candidates.withColumn("block", F.floor(F.col("place") / _BLOCK))
     owned = places.join(covered, ["file", "block"]).where("place >= start AND place < following")
-    pieces = owned.select("file", "at", "owner", "place").join(table.select("file", "at", "value"), ["file", "at"])
+    owned = stage(owned.select("file", "at", "owner", "place"))
+    pieces = owned.join(table.select("file", "at", "value"), ["file", "at"])
     listed = F.array_sort(F.collect_list(F.struct("place", F.col("value").cast("string").alias("value"))))
     grouped = pieces.groupBy("file", F.col("owner").alias("at")).agg(listed.alias("pieces"))
     return grouped.select("file", "at", F.array_join("pieces.value", _MAGIC).cast("binary").alias("gathered"))
