@@ -80,7 +80,8 @@ def remove_boilerplate(
     )
     # Rows that repeat an id and text are one row of this table, whatever their number.
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__content"))
-    joined = docs.join(gone, same, "left")
+    # Always by sort-merge, so that the plan is the same at every size.
+    joined = docs.join(gone.hint("merge"), same, "left")
     kept = F.expr(f"filter(split(`{text}`, '\\n'), (line, n) -> NOT array_contains(__gone, n))")
     shorter = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     columns = [shorter.alias(c) if c == text else F.col(c) for c in docs.columns if c != removed]
