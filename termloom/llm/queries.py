@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.decontaminate import find_contamination
+from termloom.llm.labelled import fold
 from termloom.llm.line_dedup import remove_boilerplate
+from termloom.llm.quality import fit_quality, score_quality
 from termloom.llm.simhash import simhash_components
 from termloom.llm.token_files import read_token_files, write_token_files
+from termloom.llm.toxicity import fit_toxicity, score_toxicity
 from termloom.llm.vectors import vector_duplicates
 from termloom.llm.warc import read_warc, write_warc
 from termloom.sinks.tables import shared_folder
@@ -75,6 +78,29 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _classified(scores: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from four fifths of the labels."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(documents, _table(spark, sf_dir, "labels"), learn=fold(F.col("doc_id"), 5) != 0)
+    return _classified(score_toxicity(documents, model), 5, 0)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from two thirds of the labels."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(documents, _table(spark, sf_dir, "labels"), learn=fold(F.col("doc_id"), 3) != 1)
+    return _classified(score_quality(documents, model), 3, 1)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -82,6 +108,8 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_vector_duplicates": op7_vector_duplicates,
     "op8_decontamination": op8_decontamination,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 # Five hexadecimal digits are four of base 32.
