@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -128,43 +132,115 @@ class Frame:
         return [None] * self.nulls + (self.names.decode() + self.least).tolist()
 
 
-#: A blank beside other white space; a text without one can be encoded blank by blank.
-_IRREGULAR = re.compile(r"^ | $| \s|\s ")
-#: Distinct pieces that a task remembers, at most.
-_REMEMBERED = 400_000
+#: White space other than blanks and line feeds, and the runs that are not cut into single ones.
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_LONG_SPACE = re.compile(r"\s\s\s|\s\s\Z")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+#: Distinct pieces, and their characters, that a task remembers at most.
+_REMEMBERED, _REMEMBERED_CHARS = 400_000, 16 << 20
 
 
-def piecewise(encode_batch: Callable[[list[str]], list[list[int]]], width: int):
+def pieces_of(text: str) -> list[str] | None:
+    """Keys of the pieces of a text before blanks and line feeds; None if it cannot be cut.
+
+    A byte-level encoder of this kind takes a blank together with the word after it, and of a
+    run of white space before a word all but the last character first. So a text can be cut
+    before each blank and around each line feed unless a run of three or more, or of two at
+    the end, is to be encoded as a whole. Keys: ``word`` stands for a blank and the word,
+    a leading line feed for itself, two for the start of the text.
+    """
+    if (any(pair in text for pair in _PAIRS) or _OTHER_SPACE.search(text)) and _LONG_SPACE.search(text):
+        return None
+    pieces = text.replace("\n", " \n").split(" ")
+    # A text that begins with a line feed has an empty first piece.
+    pieces[0] = f"\n\n{pieces[0]}"
+    return pieces
+
+
+def byte_characters() -> dict[int, str]:
+    """The visible character that stands for each byte in a byte-level vocabulary."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def piecewise(encode: Callable[[str], list[int]], encode_word: Callable[[str], list[int]], width: int):
     """An encoder of lists of texts to bytes of ids that encodes each distinct piece once.
 
-    For byte-level pair encoding: its pieces never span a blank that stands between two other
-    characters, so the ids of a text are those of its blank-led pieces in a row. Texts with a
-    blank beside other white space are encoded as a whole.
+    ``encode`` takes any text, ``encode_word`` the byte characters of a word of letters alone,
+    with or without a blank before it.
     """
-    kind = {2: "<u2", 4: "<u4"}[width]
-    known: dict[str, bytes] = {}
+    kind = {2: "H", 4: "I"}[width]
+    table = byte_characters()
+    blank = table[0x20]
 
-    def pieces_of(text: str) -> list[str]:
-        if _IRREGULAR.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+    def packed(ids) -> bytes:
+        return array(kind, ids).tobytes()
+
+    feed = packed(encode("\n"))
+    marks: dict[str, bytes] = {}
+    # Two generations: what is used stays, and no more than twice the limits is held.
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+    size = 0
+
+    def word(core: str, start: str) -> bytes:
+        mapped = core if core.isascii() else core.encode().decode("latin-1").translate(table)
+        return array(kind, encode_word(start + mapped)).tobytes()
+
+    def ids_of(key: str) -> bytes:
+        if key.isalpha():
+            return word(key, blank)
+        led, core, start = b"", key, blank
+        if key[:1] == "\n":  # the start of the text, or a line feed
+            led, core = (b"", key[2:]) if key[:2] == "\n\n" else (feed, key[1:])
+            start = ""
+        letters = core.rstrip(string.punctuation)
+        if not letters.isalpha():
+            text = " " + core if start else core
+            return led + (packed(encode(text)) if text else b"")
+        ids = known.get(letters) if start else None
+        if ids is None:
+            ids = word(letters, start)
+            if start:
+                known[letters] = ids
+        # Marks after letters are a piece of their own.
+        end = core[len(letters) :]
+        if not end:
+            return led + ids
+        if len(end) > 8:
+            return led + ids + packed(encode(end))
+        if end not in marks:
+            if len(marks) > _REMEMBERED:
+                marks.clear()
+            marks[end] = packed(encode(end))
+        return led + ids + marks[end]
+
+    def learn(keys: set[str]) -> dict[str, bytes]:
+        nonlocal known, older, size
+        if len(known) + len(keys) > _REMEMBERED or size > _REMEMBERED_CHARS:
+            known, older, size = {}, known, 0
+        for key in keys:
+            ids = older.get(key)
+            known[key] = ids_of(key) if ids is None else ids
+            size += len(key)
+        return known
 
     def run(texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
             pieces = pieces_of(text)
-            new = [p for p in dict.fromkeys(pieces) if p not in known]
-            own: dict[str, bytes] = {}
-            if new:
-                coded = {p: np.array(ids, dtype=kind).tobytes() for p, ids in zip(new, encode_batch(new), strict=True)}
-                if len(known) + len(coded) > _REMEMBERED:
-                    own = {p: known[p] for p in pieces if p in known}
-                    known.clear()
-                long = {p: ids for p, ids in coded.items() if len(p) > 64}
-                own |= long
-                known.update((p, ids) for p, ids in coded.items() if len(p) <= 64)
-            out.append(b"".join([own[p] if p in own else known[p] for p in pieces] if own else map(known.__getitem__, pieces)))
+            if pieces is None:
+                out.append(packed(encode(text)))
+                continue
+            parts = list(map(known.get, pieces))
+            if None in parts:
+                gaps = list(compress(range(len(parts)), map(not_, parts)))
+                missing = {pieces[i] for i in gaps}
+                fresh = learn(missing)
+                for i in gaps:
+                    parts[i] = fresh[pieces[i]]
+            out.append(b"".join(parts))
         return out
 
     return run
@@ -189,8 +265,11 @@ def _encoder(path: str, width: int):
     key = f"{path} {width}"
     if key not in _LOADED:
         tokenizer = _tokenizer(path)
+        model = tokenizer.model
         _LOADED[key] = piecewise(
-            lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], width
+            lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
+            lambda word: [token.id for token in model.tokenize(word)],
+            width,
         )
     return _LOADED[key]
 

@@ -21,7 +21,7 @@ SIZES = (3, 4, 5)
 #: Longer words count by their first and last so many bytes.
 _ENDS = 32
 #: Inputs of the softmax are scaled by this, so that small averages can matter.
-_SCALE = 30.0
+_SCALE = 300.0
 #: Words that a task remembers, at most.
 _REMEMBERED = 300_000
 
@@ -80,7 +80,7 @@ class _Adam:
 
 
 def train(
-    bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, share: float, *, dimensions: int = 4, epochs: int = 8, seed: int = 0
+    bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, share: float, *, dimensions: int = 4, epochs: int = 16, seed: int = 0
 ) -> SubwordModel:
     """Fit embeddings and softmax together by Adam on the texts' bags.
 
