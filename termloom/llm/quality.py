@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termloom.llm.labelled import sample_labelled
 from termloom.llm.staging import byte_texts
@@ -99,10 +100,6 @@ class NeighbourModel:
         return np.clip((weight * self.labels[nearest]).sum(axis=1) / weight.sum(axis=1), 0, 1)
 
 
-def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-
-
 def feature_frequencies(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarray, int]:
     """In how many of all documents each feature stands, and how many documents there are.
 
@@ -164,20 +161,25 @@ def fit_quality(
     return NeighbourModel(rarity, directions, _unit(weighted @ directions), values, neighbours)
 
 
-def score_quality(docs: DataFrame, model: NeighbourModel, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, score)`` of every row, from exact cosines with all labelled vectors in blocks.
+def score_quality(
+    docs: DataFrame, model: NeighbourModel, *, text: str = "text", keep: list[str] | None = None, column: str = "score"
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (default: all) with the ``column`` of scores, every row.
 
-    Null and empty texts have no features; their cosines are 0, so the votes are unweighted.
+    Cosines with all labelled vectors are exact, in blocks. Null and empty texts have no
+    features; their cosines are 0, so the votes are unweighted. A column of that name is replaced.
     """
+    kept = [c for c in keep or docs.columns if c != column]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # sample_rows by rank numbers
-    rows = _rows(docs, doc_id, text)
+    rows = docs.select(*kept, F.col(text).cast("binary").alias("__text"))
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "__text"), T.StructField(column, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, count = shared.value, ShapeCounter()
         for batch in batches:
             for at in range(0, batch.num_rows, _BLOCK):
                 part = batch.slice(at, _BLOCK)
-                scores = model.scores(_dense([count(t) for t in byte_texts(part.column(1))]))
-                yield pa.record_batch([part.column(0), pa.array(scores)], ["doc_id", "score"])
+                scores = model.scores(_dense([count(t) for t in byte_texts(part.columns[-1])]))
+                yield pa.record_batch([*part.columns[:-1], pa.array(scores)], names=[*kept, column])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(run, schema)

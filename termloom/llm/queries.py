@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from termloom.llm.decontaminate import find_contamination
 from termloom.llm.labelled import fold
+from termloom.llm.license_scan import scan_licenses
 from termloom.llm.line_dedup import remove_boilerplate
+from termloom.llm.packing import pack_documents, with_sizes
 from termloom.llm.quality import fit_quality, score_quality
 from termloom.llm.simhash import simhash_components
 from termloom.llm.token_files import read_token_files, write_token_files
@@ -42,6 +44,21 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", "n_removed")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    found = scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("bigint").alias("n_base"),
+        F.array_min("base_places").alias("first_word"),
+        F.array_max("base_places").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Every document encoded, written in id order and read back."""
     if tokenizer is None:
@@ -59,6 +76,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into bins of 2048 words, one of a source and of a copy's group each."""
+    return pack_documents(with_sizes(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+
+
 def op7_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all vectors with a cosine of 0.9 or more."""
     return vector_duplicates(_table(spark, sf_dir, "embeddings"))
@@ -98,14 +120,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt from two thirds of the labels."""
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(documents, _table(spark, sf_dir, "labels"), learn=fold(F.col("doc_id"), 3) != 1)
-    return _classified(score_quality(documents, model), 3, 1)
+    return _classified(score_quality(documents, model, keep=["doc_id"]), 3, 1)
 
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
+    "op6_packing": op6_packing,
     "op7_vector_duplicates": op7_vector_duplicates,
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
