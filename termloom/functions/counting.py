@@ -44,6 +44,16 @@ def count_values(values: Column, value: str = "term", count: str = "tf") -> Colu
     )
 
 
+def listed(token: Column, words: Sequence[str], *, case_insensitive: bool = False) -> Column:
+    """Whether a token is in a list of words; both in lower case if ``case_insensitive``.
+
+    Spark lowers the words too, when it folds constants, so that list and table agree.
+    """
+    if case_insensitive:
+        return F.lower(token).isin([F.lower(F.lit(w)) for w in words])
+    return token.isin(list(words))
+
+
 def terms_of(
     text: Column | str,
     stopwords: Sequence[str] = (),
@@ -58,9 +68,8 @@ def terms_of(
     """
     tokens = tokenize(text)
     if stopwords:
-        words = list(stopwords)
         tokens = F.filter(
-            tokens, lambda t: ~(F.lower(t) if case_insensitive else t).isin(words)
+            tokens, lambda t: ~listed(t, stopwords, case_insensitive=case_insensitive)
         )
     if words_only:
         tokens = F.filter(tokens, lambda t: F.rlike(t, F.lit(r"^\p{L}")))

@@ -122,10 +122,13 @@ def with_stem(df: DataFrame, term: str = "term", stem: str = "stem") -> DataFram
     Words of one or two characters stay as they are. Letters other than
     a, e, i, o, u and y count as consonants, accented ones too.
     """
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in (term, stem)]
+    names = [c for c in df.columns if c not in (term, stem)]
+    # Other columns go by numbers meanwhile, whatever they are called.
+    keep = [f"__kept{i}" for i in range(len(names))]
+    kept = [F.col(f"`{c}`").alias(k) for c, k in zip(names, keep, strict=True)]
     word = F.col(f"`{term}`")
     # Null checks in every rule would make the compiled method too large for the JIT.
-    out = df.select(*keep, word.alias("__word"), F.coalesce(word, F.lit("")).alias("w"))
+    out = df.select(*kept, word.alias("__word"), F.coalesce(word, F.lit("")).alias("w"))
     for part, word in _STEPS:
         if part:
             out = out.select(*keep, "__word", "w", F.expr(part).alias("part"))
@@ -134,4 +137,5 @@ def with_stem(df: DataFrame, term: str = "term", stem: str = "stem") -> DataFram
     original = [] if term == stem else [F.col("__word").alias(term)]
     # Exploding an array of one stops later filters on the stem from being pushed into
     # the chain, where each step would copy them several times over.
-    return out.select(*keep, *original, F.explode(F.array(stemmed)).alias(stem))
+    others = [F.col(k).alias(c) for c, k in zip(names, keep, strict=True)]
+    return out.select(*others, *original, F.explode(F.array(stemmed)).alias(stem))

@@ -12,6 +12,7 @@ from termloom.operators.tagging import (
     pos_frequency_stripes,
     pos_stripes,
     pos_tag,
+    tag_counts,
 )
 from termloom.operators.terms import (
     document_frequency,
@@ -43,6 +44,7 @@ __all__ = [
     "row_stripes",
     "stem_vocabulary",
     "sum_stripes",
+    "tag_counts",
     "term_frequency",
     "term_stripes",
     "tfidf",

@@ -9,7 +9,7 @@ from termloom.functions.scoring import DEFAULT_N_DOCS, idf_value
 from termloom.operators.joins import same_value
 
 
-def _scored(joined: DataFrame, n_docs: float) -> DataFrame:
+def _scored(joined: DataFrame, n_docs: float | DataFrame) -> DataFrame:
     df = F.coalesce("df", F.lit(0))
     return joined.select(
         "doc_id",
@@ -27,11 +27,15 @@ def _with_df(tf: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def tfidf(
-    tf: DataFrame, df: DataFrame, n_docs: float = DEFAULT_N_DOCS, *, common_terms: int = 0
+    tf: DataFrame,
+    df: DataFrame,
+    n_docs: float | DataFrame = DEFAULT_N_DOCS,
+    *,
+    common_terms: int = 0,
 ) -> DataFrame:
     """Score every term of every document, ``(doc_id, term, tf, df, score)``.
 
-    A term missing from ``df`` has df 0. The join carries no hint: the vocabulary
+    ``n_docs`` is a number or a one-row table, see ``idf_value``. A term missing from ``df`` has df 0. The join carries no hint: the vocabulary
     grows with the corpus, so the adaptive planner broadcasts it only if its
     measured size allows and otherwise splits the partitions of very common terms.
 
@@ -49,6 +53,14 @@ def tfidf(
     return _scored(tf.join(common, "term").unionByName(_with_df(rest, df)), n_docs)
 
 
-def tfidf_for_terms(tf: DataFrame, terms: DataFrame, n_docs: float = DEFAULT_N_DOCS) -> DataFrame:
-    """Scores of the terms in ``terms(term, df)`` only, such as ``top_terms_by_df`` gives."""
-    return _scored(tf.join(terms.select("term", "df"), "term"), n_docs)
+def tfidf_for_terms(
+    tf: DataFrame, terms: DataFrame, n_docs: float | DataFrame = DEFAULT_N_DOCS
+) -> DataFrame:
+    """Scores of the terms in ``terms(term, df)`` only, such as ``top_terms_by_df`` gives.
+
+    A table of few terms is broadcast by its size; with a large one, the partitions of
+    very common terms can be split.
+    """
+    wanted = terms.select(F.col("term").alias("wanted_term"), "df")
+    joined = tf.join(wanted, same_value(F.col("term"), F.col("wanted_term")))
+    return _scored(joined.drop("wanted_term"), n_docs)

@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 
 from termloom.functions.counting import count_values, explode_map, terms_of
 from termloom.functions.scoring import DEFAULT_N_DOCS
-from termloom.operators.joins import same_value
+from termloom.functions.stemming import with_stem
 from termloom.operators.scoring import tfidf
 
-MAX_ENTRIES = 100_000
-
 
 def row_stripes(corpus: DataFrame, stopwords: Sequence[str] = (), **options) -> DataFrame:
     """One map per row of the corpus, ``(doc_id, stripe)``; no shuffle.
@@ -29,29 +27,25 @@ def explode_stripes(stripes: DataFrame) -> DataFrame:
     return explode_map(stripes, "stripe", "doc_id", names=("term", "tf"))
 
 
-def sum_stripes(stripes: DataFrame) -> DataFrame:
-    """Entries of all maps of a document added up by term, ``(doc_id, term, tf)``."""
-    return explode_stripes(stripes).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+def sum_stripes(stripes: DataFrame, *, stem: bool = False) -> DataFrame:
+    """Entries of all maps of a document added up by term, ``(doc_id, term, tf)``.
+
+    With ``stem``, terms are stemmed first, so the same shuffle adds up what shares a stem.
+    """
+    entries = explode_stripes(stripes)
+    if stem:
+        entries = with_stem(entries, "term", "term").where(F.col("term").isNotNull())
+    return entries.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
-def term_stripes(tf: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
+def term_stripes(tf: DataFrame, shards: int = 1) -> DataFrame:
     """Term frequencies as maps, ``(doc_id, shard, stripe)``.
 
-    A document has one map, shard 0, unless it has more than ``max_entries`` terms.
-    Then its terms are dealt by hash to as many shards as bring each near that
-    size, so no task has to hold a map that grows with the document.
+    Every document has up to ``shards`` maps, its terms dealt by a hash, whatever its
+    size. Choose so many that the largest document's terms, divided by them, are a map
+    that a task can hold.
     """
-    shards = (
-        tf.groupBy(F.col("doc_id").alias("large_doc"))
-        .agg(F.count("tf").alias("entries"))
-        .where(F.col("entries") > max_entries)
-        .select("large_doc", F.ceil(F.col("entries") / max_entries).alias("shards"))
-    )
-    shard = F.pmod(F.xxhash64("term"), F.col("shards"))
-    same_doc = same_value(F.col("doc_id"), F.col("large_doc"))
-    dealt = tf.join(shards, same_doc, "left").select(
-        "doc_id", F.coalesce(shard, F.lit(0)).alias("shard"), "term", "tf"
-    )
+    dealt = tf.select("doc_id", F.pmod(F.xxhash64("term"), F.lit(shards)).alias("shard"), "term", "tf")
     # Partitioned by both columns: by doc_id alone, all shards would share a task.
     return (
         dealt.repartition("doc_id", "shard")
@@ -60,13 +54,17 @@ def term_stripes(tf: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
     )
 
 
-def merge_stripes(stripes: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Merge all maps of a document, adding their values by key."""
-    return term_stripes(sum_stripes(stripes), max_entries)
+def merge_stripes(stripes: DataFrame, shards: int = 1, *, stem: bool = False) -> DataFrame:
+    """Merge all maps of a document, adding their values by key; see ``term_stripes``."""
+    return term_stripes(sum_stripes(stripes, stem=stem), shards)
 
 
 def tfidf_stripes(
-    stripes: DataFrame, df: DataFrame, n_docs: float = DEFAULT_N_DOCS
+    stripes: DataFrame,
+    df: DataFrame,
+    n_docs: float | DataFrame = DEFAULT_N_DOCS,
+    *,
+    stem: bool = False,
 ) -> DataFrame:
     """Score the terms of stripes, merged or not; equal to ``tfidf`` on the same counts."""
-    return tfidf(sum_stripes(stripes), df, n_docs)
+    return tfidf(sum_stripes(stripes, stem=stem), df, n_docs)

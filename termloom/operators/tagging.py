@@ -79,6 +79,30 @@ def pos_frequency(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+def tag_counts(
+    lines: DataFrame,
+    *,
+    tagger: Tagger | None = None,
+    make_tagger: Callable[[], Tagger] | None = None,
+) -> DataFrame:
+    """Tag frequencies straight from lines, ``(tag, n)``; equal to ``pos_frequency(pos_tag(lines))``.
+
+    The rules look at a token and at whether it is the first of its line, so distinct pairs
+    of the two are counted first and each is tagged once. For a tagger of one's own, only
+    tokens go to Python and only tags come back.
+    """
+    make = (lambda: tagger) if tagger else make_tagger
+    if make is not None:
+        tags = _tagged_lines(lines.select("text"), make).select(F.explode("tags").alias("tag"))
+        return pos_frequency(tags)
+    tokens = lines.select(F.posexplode(tokenize("text")).alias("pos", "token"))
+    place = F.least("pos", F.lit(1)).alias("place")
+    pairs = tokens.select("token", place).groupBy("token", "place").agg(F.count(F.lit(1)).alias("n"))
+    pairs = pairs.withColumn("lowered", F.lower("token"))
+    tag = tag_token(F.col("token"), F.col("lowered"), F.col("place")).alias("tag")
+    return pairs.select(tag, "n").groupBy("tag").agg(F.sum("n").alias("n"))
+
+
 def pos_stripes(
     lines: DataFrame,
     *,

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.counting import count_values, terms_of
+from termloom.functions.counting import count_values, listed, terms_of
 from termloom.functions.scoring import DEFAULT_N_DOCS, idf_value
 from termloom.functions.stemming import with_stem
 from termloom.functions.tokenizing import tokenize
 from termloom.operators.tokens import normalize, remove_stopwords
-from termloom.sources.corpus import corpus_size
 
 
 def _row_counts(corpus: DataFrame, stopwords: Sequence[str], **options: bool) -> DataFrame:
@@ -35,8 +34,8 @@ def _occurrences(
     if isinstance(stopwords, DataFrame):
         tokens = remove_stopwords(tokens, stopwords, case_insensitive=case_insensitive)
     elif stopwords:
-        compared = F.lower("token") if case_insensitive else F.col("token")
-        tokens = tokens.where(~compared.isin(list(stopwords)))
+        stopword = listed(F.col("token"), stopwords, case_insensitive=case_insensitive)
+        tokens = tokens.where(~stopword)
     return normalize(tokens).withColumn("tf", F.lit(1).cast("bigint"))
 
 
@@ -47,27 +46,22 @@ def term_frequency(
     stem: bool = False,
     case_insensitive: bool = False,
     words_only: bool = False,
-    one_row_per_document: bool | None = None,
+    one_row_per_document: bool = False,
 ) -> DataFrame:
     """Occurrences of each term in each document, ``(doc_id, term, tf)``.
 
-    If every document is one row of the corpus, each row is counted in place and
-    nothing is shuffled. Otherwise, or with ``stem``, counts are added up by document
-    and term, spread over all tasks however large one document is. Leave
-    ``one_row_per_document`` unset to have it checked by a job over ``doc_id`` alone;
-    a corpus of lines, with a ``line_no``, needs no check.
+    Counts are added up by document and term, spread over all tasks however large one
+    document is. A caller that knows each ``doc_id`` to be on one row only can declare
+    ``one_row_per_document``: rows are then counted in place and nothing is shuffled.
+    The declaration is not checked, and is ignored with ``stem``, a table of stopwords,
+    or a corpus of lines (one with a ``line_no``).
 
     ``stopwords`` is a list small enough to ship with the plan, or a table
     ``(word)`` of any size, which is joined to the tokens instead.
     """
     options = {"case_insensitive": case_insensitive, "words_only": words_only}
     joined = isinstance(stopwords, DataFrame)
-    if stem or joined or "line_no" in corpus.columns:
-        final = False
-    elif one_row_per_document is None:
-        final = corpus_size(corpus).one_row_per_document
-    else:
-        final = one_row_per_document
+    final = one_row_per_document and not (stem or joined or "line_no" in corpus.columns)
 
     # Stemming is dear, so there the terms of a row are counted before it. Without it,
     # counting twice costs more than the partial aggregation saves by it.
@@ -99,8 +93,8 @@ def document_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count("tf").alias("df"))
 
 
-def idf(df: DataFrame, n_docs: float = DEFAULT_N_DOCS) -> DataFrame:
-    """Add ``idf`` to a document frequency table."""
+def idf(df: DataFrame, n_docs: float | DataFrame = DEFAULT_N_DOCS) -> DataFrame:
+    """Add ``idf`` to a document frequency table; ``n_docs`` as in ``idf_value``."""
     return df.withColumn("idf", idf_value(F.col("df"), n_docs))
 
 

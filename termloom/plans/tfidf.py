@@ -11,7 +11,7 @@ from termloom.functions.scoring import DEFAULT_N_DOCS
 from termloom.operators.scoring import tfidf
 from termloom.operators.terms import document_frequency, term_frequency
 from termloom.sinks.tables import write_table
-from termloom.sources.corpus import corpus_size
+from termloom.sources.corpus import count_documents
 
 # A broadcast of fewer terms than this is a few megabytes.
 COMMON_TERMS = 100_000
@@ -24,25 +24,24 @@ class Index:
     tfidf: DataFrame
 
 
-def _number(corpus: DataFrame, n_docs: float | str) -> float:
-    return float(corpus_size(corpus).documents if n_docs == "count" else n_docs)
+def _number(corpus: DataFrame, n_docs: float | str | DataFrame) -> float | DataFrame:
+    return count_documents(corpus) if isinstance(n_docs, str) and n_docs == "count" else n_docs
 
 
 def corpus_tfidf(
     corpus: DataFrame,
     stopwords: Sequence[str] | DataFrame = (),
     *,
-    n_docs: float | str = DEFAULT_N_DOCS,
+    n_docs: float | str | DataFrame = DEFAULT_N_DOCS,
     **options,
 ) -> DataFrame:
     """TF-IDF of a corpus as one plan, ``(doc_id, term, tf, df, score)``.
 
-    ``n_docs="count"`` takes the number of documents in the corpus. Options are
-    those of ``term_frequency``. By default the counts are shuffled even if every
-    document is one row: the df table and the scores then share that shuffle, which
-    costs less than tokenizing the corpus twice.
+    ``n_docs="count"`` counts the documents of the corpus in the same plan. Options are
+    those of ``term_frequency``. The counts are best shuffled even if every document is
+    one row: the df table and the scores then share that shuffle, which costs less than
+    tokenizing the corpus twice.
     """
-    options.setdefault("one_row_per_document", False)
     tf = term_frequency(corpus, stopwords, **options)
     return tfidf(tf, document_frequency(tf), _number(corpus, n_docs))
 
@@ -52,8 +51,9 @@ def build_index(
     folder: str,
     stopwords: Sequence[str] | DataFrame = (),
     *,
-    n_docs: float | str = DEFAULT_N_DOCS,
+    n_docs: float | str | DataFrame = DEFAULT_N_DOCS,
     common_terms: int = COMMON_TERMS,
+    resume: bool = False,
     **options,
 ) -> Index:
     """TF-IDF of a corpus in three stages, each a table in ``folder``.
@@ -61,8 +61,10 @@ def build_index(
     The text is read and tokenized once, a lost executor costs the running stage
     only, and the last join is planned with the true size of the df table; see
     ``tfidf`` for ``common_terms``. ``folder`` must be one that all executors share.
+    With ``resume``, stages that an earlier run finished there are kept; it must have
+    been a run on the same corpus with the same options.
     """
-    tf = write_table(term_frequency(corpus, stopwords, **options), f"{folder}/tf")
-    df = write_table(document_frequency(tf), f"{folder}/df")
+    tf = write_table(term_frequency(corpus, stopwords, **options), f"{folder}/tf", resume=resume)
+    df = write_table(document_frequency(tf), f"{folder}/df", resume=resume)
     scores = tfidf(tf, df, _number(corpus, n_docs), common_terms=common_terms)
-    return Index(tf, df, write_table(scores, f"{folder}/tfidf"))
+    return Index(tf, df, write_table(scores, f"{folder}/tfidf", resume=resume))

@@ -29,14 +29,24 @@ def write_tsv(
     rows.select(F.concat_ws("\t", *fields).alias("value")).write.mode(mode).text(path)
 
 
-def write_table(df: DataFrame, path: str, *, mode: str = "errorifexists") -> DataFrame:
+def write_table(
+    df: DataFrame, path: str, *, mode: str = "errorifexists", resume: bool = False
+) -> DataFrame:
     """Write ``df`` as parquet and return it read back.
 
     Cuts the lineage, survives the loss of executors, and lets later joins plan
-    with the true size of the table.
+    with the true size of the table. With ``resume``, a table that an earlier run
+    finished (it has a ``_SUCCESS`` file) is taken as it is, and an unfinished one replaced.
     """
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    if not (resume and _exists(spark, f"{path}/_SUCCESS")):
+        df.write.mode("overwrite" if resume else mode).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,9 +1,7 @@
 from termloom.sources.corpus import (
-    CorpusSize,
-    corpus_size,
+    count_documents,
     read_corpus_parquet,
     read_corpus_text,
-    spread,
 )
 from termloom.sources.tables import (
     default_stopwords,
@@ -13,13 +11,11 @@ from termloom.sources.tables import (
 )
 
 __all__ = [
-    "CorpusSize",
-    "corpus_size",
+    "count_documents",
     "default_stopwords",
     "read_corpus_parquet",
     "read_corpus_text",
     "read_df_table",
     "read_stopwords",
-    "spread",
     "stopword_list",
 ]

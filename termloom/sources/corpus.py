@@ -7,63 +7,55 @@ file has splits.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_corpus_text(spark: SparkSession, path: str | list[str], *, full_path: bool = False) -> DataFrame:
+def read_corpus_text(
+    spark: SparkSession, path: str | list[str], *, full_path: bool = False, partitions: int | None = None
+) -> DataFrame:
     """One row per line of the text files under ``path``: ``(doc_id, line_no, text)``.
 
     ``doc_id`` is the base name of the file, so files of one name in different
     folders count as one document unless ``full_path`` is set. ``line_no`` tells
-    lines apart and grows within a file split; it is not a dense count.
+    lines apart and grows within a file split; it is not a dense count. For
+    ``partitions`` see ``read_corpus_parquet``.
     """
     name = F.col("_metadata.file_path" if full_path else "_metadata.file_name")
     # Spark gives the name URL-encoded, with a plus sign left as it is.
     decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     lines = spark.read.text(path)
-    return spread(
-        lines.select(
-            F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("doc_id"),
-            F.monotonically_increasing_id().alias("line_no"),
-            F.col("value").alias("text"),
-        )
+    rows = lines.select(
+        F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("doc_id"),
+        F.monotonically_increasing_id().alias("line_no"),
+        F.col("value").alias("text"),
     )
+    return rows.repartition(partitions) if partitions else rows
 
 
 def read_corpus_parquet(
-    spark: SparkSession, path: str | list[str], *, doc_id: str = "doc_id", text: str = "text"
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """One row per row of a parquet table: ``(doc_id, text)``."""
-    table = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    return spread(table.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out if the scan has fewer splits than the cluster has cores.
+    """One row per row of a parquet table: ``(doc_id, text)``.
 
-    Only an input too small to occupy the cluster is shuffled. Rows are dealt
-    round-robin, so one large document or key cannot end up in one task.
+    Without ``partitions`` nothing is shuffled: tasks follow the splits of the files. A number
+    deals the rows out to so many tasks, for files too few or too unsplittable to occupy a
+    cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-@dataclass(frozen=True)
-class CorpusSize:
-    rows: int
-    documents: int
+    table = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    rows = table.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.repartition(partitions) if partitions else rows
 
-    @property
-    def one_row_per_document(self) -> bool:
-        return self.rows == self.documents
 
+def count_documents(corpus: DataFrame) -> DataFrame:
+    """The number of documents as a table of one row, ``(n_docs)``; a null id counts as one.
 
-def corpus_size(corpus: DataFrame) -> CorpusSize:
-    """Count rows and distinct documents. Runs a job over the ``doc_id`` column only."""
-    row = corpus.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id").alias("documents")
-    ).first()
-    return CorpusSize(row["rows"], row["documents"])
+    Nothing runs until the table is used. The scoring operators take it as ``n_docs`` and
+    count within their own plan.
+    """
+    return corpus.select("doc_id").distinct().agg(F.count(F.lit(1)).alias("n_docs"))

@@ -28,9 +28,9 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 def read_df_table(spark: SparkSession, path: str) -> DataFrame:
     """A document frequency table written by ``write_tsv``, as ``(term, df)``.
 
-    Read as plain lines: a csv reader takes the term ``"`` for a quote.
+    Read as plain lines: a csv reader takes the term ``"`` for a quote. A term that stands
+    there several times, as when a folder holds the output of two jobs, has its largest df.
     """
     parts = F.split("value", "\t")
-    return spark.read.text(path).select(
-        parts[0].alias("term"), parts[1].cast("bigint").alias("df")
-    )
+    rows = spark.read.text(path).select(parts[0].alias("term"), parts[1].cast("bigint").alias("df"))
+    return rows.groupBy("term").agg(F.max("df").alias("df"))
