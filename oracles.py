@@ -153,6 +153,8 @@ def _top_scores(order: str) -> str:
     """
 
 
+_MIXED_CASE = "('the', 'and', 'of', 'la', 'de', 'der', 'und', 'que', 'y', '.', ',')"
+_WITHOUT_FRENCH = "SELECT doc_id, CASE WHEN lang <> 'fr' THEN text END AS text FROM documents"
 _CONVERSATIONS = "SELECT conv_id AS doc_id, text FROM conversations"
 _TOKEN_COUNTS = f"""
     WITH {_terms()} SELECT token, count(*) AS n FROM tokens GROUP BY token
@@ -166,9 +168,28 @@ _STEMMED_TFIDF = f"""
     SELECT tf.doc_id, tf.term, {_score()} AS score FROM tf JOIN df USING (term)
 """
 
+_STEMMED_RAREST = f"""
+    WITH {_terms()}, {_STEMS}, {_STEMMED_TF}, {_STEMMED_DF}, {_top("ASC")}
+    SELECT tf.doc_id, tf.term, {_score(df="top.df")} AS score FROM tf JOIN top USING (term)
+"""
+
 ORACLES = {
     "token_counts": _TOKEN_COUNTS,
     "text_source_token_counts": _TOKEN_COUNTS,
+    "text_source_term_frequency": f"""
+        WITH {_terms()} SELECT lang, term, count(*) AS tf FROM terms JOIN documents USING (doc_id) GROUP BY lang, term
+    """,
+    "stopword_file_term_frequency": _TERM_FREQUENCY,
+    "null_text_term_frequency": f"WITH {_terms(_WITHOUT_FRENCH)}, {_TF} SELECT doc_id, term, tf FROM tf",
+    "case_insensitive_term_frequency": f"""
+        WITH {_terms()}
+        SELECT doc_id, lower(token) AS term, count(*) AS tf FROM tokens
+        WHERE lower(token) NOT IN {_MIXED_CASE} GROUP BY 1, 2
+    """,
+    "words_only_term_frequency": rf"""
+        WITH {_terms()}, {_TF} SELECT doc_id, term, tf FROM tf WHERE regexp_matches(term, '^\p{{L}}')
+    """,
+    "sorted_tsv_round_trip": _DOCUMENT_FREQUENCY,
     "stopword_filtered_counts": f"""
         WITH {_terms()} SELECT term, count(*) AS n FROM terms GROUP BY term
     """,
@@ -204,10 +225,9 @@ ORACLES = {
     "stemmed_document_frequency": f"WITH {_terms()}, {_STEMS}, {_STEMMED_DF} SELECT term, df FROM df",
     "stemmed_tfidf": _STEMMED_TFIDF,
     "indexed_tfidf": _STEMMED_TFIDF,
-    "stemmed_tfidf_rarest_terms": f"""
-        WITH {_terms()}, {_STEMS}, {_STEMMED_TF}, {_STEMMED_DF}, {_top("ASC")}
-        SELECT tf.doc_id, tf.term, {_score(df="top.df")} AS score FROM tf JOIN top USING (term)
-    """,
+    "stemmed_tfidf_stripes": _STEMMED_TFIDF,
+    "stemmed_tfidf_rarest_terms": _STEMMED_RAREST,
+    "stemmed_stripes_rarest_terms": _STEMMED_RAREST,
     "pos_frequency": _TAG_COUNTS,
     "pos_frequency_stripes": _TAG_COUNTS,
     "pos_tag": f"WITH {_TAGGED} SELECT token, tag, count(*) AS n FROM tagged GROUP BY token, tag",

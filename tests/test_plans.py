@@ -136,11 +136,16 @@ def test_a_very_common_term_is_split_in_the_join(spark):
             "id AS doc_id", "concat('hot w', id % 500, ' x', id % 499) AS text"
         )
         tf = term_frequency(corpus, one_row_per_document=True)
-        scores = tfidf(tf, document_frequency(tf))
+        df = document_frequency(tf)
+        scores = tfidf(tf, df)
         plan = executed(scores)
+        chosen = tfidf_for_terms(tf, df)
+        chosen_plan = executed(chosen)
+        assert chosen.count() == scores.count()
         # hot, w, x and two numbers each, which are the same for the first 499 documents
         assert scores.count() == 5 * 60_000 - 499
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     assert "SortMergeJoin(skew=true)" in plan
+    assert "SortMergeJoin(skew=true)" in chosen_plan

@@ -4,11 +4,15 @@ import pytest
 
 from conftest import rows
 from termloom import (
-    corpus_size,
+    build_index,
+    count_documents,
     default_stopwords,
+    document_frequency,
+    drop_folder,
     explode_tokens,
     pos_frequency,
     pos_tag,
+    read_corpus_parquet,
     read_corpus_text,
     read_df_table,
     read_stopwords,
@@ -40,10 +44,10 @@ def test_text_lines_take_the_file_name_as_document(spark, folder):
         ("one + 5% ü.txt", "now"), ("one + 5% ü.txt", "sat here"),
     ]
     assert corpus.select("line_no").distinct().count() == 6
-    assert corpus_size(corpus).documents == 2
+    assert count_documents(corpus).first()[0] == 2
     assert ("one + 5% ü.txt", "cat", 2) in rows(term_frequency(corpus))
     full = read_corpus_text(spark, [f"{folder}/x", f"{folder}/y"], full_path=True)
-    assert corpus_size(full).documents == 3
+    assert count_documents(full).first()[0] == 3
 
 
 def test_tags_over_text_lines(spark, folder):
@@ -72,6 +76,40 @@ def test_tsv_round_trip_keeps_awkward_terms(spark, tmp_path):
     assert rows(read_df_table(spark, str(tmp_path / "df"))) == rows(df)
 
 
+def test_a_repeated_term_has_its_largest_df(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 5), ("a", 3)], "term string, df bigint")
+    write_tsv(df, str(tmp_path / "df"))
+    assert rows(read_df_table(spark, str(tmp_path / "df"))) == [("a", 3), ("b", 5)]
+
+
+def test_readers_shuffle_only_if_told_to(spark, folder):
+    documents = "/root/testdata/sf0.001/documents.parquet"
+    for read, path in ((read_corpus_text, f"{folder}/x"), (read_corpus_parquet, documents)):
+        plain = read(spark, path)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plain
+        dealt = read(spark, path, partitions=3)._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobinPartitioning(3)" in dealt
+
+
+def test_a_null_id_is_one_document(spark):
+    corpus = spark.createDataFrame([(None, "a"), (None, "b"), (1, "a")], "doc_id int, text string")
+    assert count_documents(corpus).first()[0] == 2
+    tf = term_frequency(corpus)
+    assert dict(rows(document_frequency(tf))) == {"a": 2, "b": 1}
+
+
+def test_finished_stages_are_kept_on_request(spark):
+    corpus = spark.createDataFrame([(1, "a b"), (2, "a")], "doc_id int, text string")
+    folder = shared_folder(spark)
+    first = rows(build_index(corpus, folder).tfidf)
+    # The scores are not finished; the counts are, so another corpus does not change them.
+    drop_folder(spark, f"{folder}/tfidf/_SUCCESS")
+    again = build_index(corpus.limit(0), folder, resume=True)
+    assert rows(again.tfidf) == first
+    with pytest.raises(Exception, match="exist"):
+        build_index(corpus, folder)
+
+
 def test_sorted_tsv_is_in_order_over_all_files(spark, tmp_path):
     df = spark.createDataFrame([(f"t{i:03}", i, 0.5) for i in range(300)], "k string, n int, s double")
     write_tsv(df.repartition(5), str(tmp_path / "out"), ["k", "s"], sort=True)

@@ -73,3 +73,12 @@ def test_compiled_method_is_small_enough_for_the_jit(spark, capsys):
         int(part.split(";")[0]) for part in capsys.readouterr().out.split("maxMethodCodeSize:")[1:]
     ]
     assert sizes and max(sizes) < 8000
+
+
+def test_any_other_column_passes_through(spark):
+    names = ["w", "part", "__word", "__kept0", "stem", "term"]
+    df = spark.createDataFrame([(1, 2, 3, 4, 5, "cats")], names)
+    assert with_stem(df, "term", "stem").first().asDict() == {
+        "w": 1, "part": 2, "__word": 3, "__kept0": 4, "term": "cats", "stem": "cat"
+    }
+    assert with_stem(df, "term", "term").first()["term"] == "cat"

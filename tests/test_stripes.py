@@ -36,23 +36,28 @@ def test_stripes_equal_pairs(documents):
     assert same(tfidf_stripes(lines, df), tfidf(tf, df))
 
 
-@pytest.mark.parametrize("limit", [1, 7, 50])
-def test_large_documents_are_dealt_to_shards(spark, limit):
-    tf = (
-        spark.range(400)
-        .select(
-            F.when(F.col("id") < 300, "big").otherwise(F.concat(F.lit("d"), F.col("id") % 20)).alias("doc_id"),
-            F.concat(F.lit("t"), F.col("id")).alias("term"),
-            (F.col("id") % 5 + 1).alias("tf"),
-        )
+@pytest.mark.parametrize("shards", [1, 7, 50])
+def test_every_document_has_the_same_shards(spark, shards):
+    tf = spark.range(400).select(
+        F.when(F.col("id") < 300, "big").otherwise(F.concat(F.lit("d"), F.col("id") % 20)).alias("doc_id"),
+        F.concat(F.lit("t"), F.col("id")).alias("term"),
+        (F.col("id") % 5 + 1).alias("tf"),
     )
-    stripes = term_stripes(tf, max_entries=limit)
+    stripes = term_stripes(tf, shards)
     assert same(explode_stripes(stripes), tf)
-    shards = dict(rows(stripes.groupBy("doc_id").count()))
-    assert shards["big"] > 300 / limit / 2
-    if limit == 50:
-        assert shards["d0"] == 1
-        assert stripes.agg(F.max(F.size("stripe"))).first()[0] < 2 * limit
+    counts = dict(rows(stripes.groupBy("doc_id").count()))
+    assert 0.9 * shards <= counts["big"] <= shards == max(shards, *counts.values())
+    assert stripes.agg(F.max(F.size("stripe"))).first()[0] <= max(300 // shards * 2, 20)
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_stemmed_stripes_equal_stemmed_pairs(documents, shards):
+    tf = term_frequency(documents, STOP, stem=True)
+    lines = row_stripes(explode_lines(documents), STOP)
+    assert same(sum_stripes(lines, stem=True), tf)
+    assert same(explode_stripes(merge_stripes(lines, shards, stem=True)), tf)
+    df = document_frequency(tf)
+    assert same(tfidf_stripes(lines, df, stem=True), tfidf(tf, df))
 
 
 def test_null_document_id_is_kept(spark):
@@ -66,28 +71,13 @@ def test_empty_maps_vanish(micro):
     assert {r.doc_id for r in explode_stripes(stripes).collect()} == {"d1", "d2"}
 
 
-def test_sharding_splits_a_skewed_document(spark):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        tf = spark.range(0, 90_000, 1, 16).selectExpr(
-            "if(id % 3 = 0, -1, id % 500) AS doc_id", "concat('t', id) AS term", "1L AS tf"
-        )
-        stripes = term_stripes(tf, max_entries=5000)
-        query = stripes._jdf.queryExecution()
-        query.toRdd().count()
-        plan = query.executedPlan().toString().split("== Initial Plan ==")[0]
-        assert stripes.agg(F.sum(F.size("stripe"))).first()[0] == 90_000
-        assert stripes.where("doc_id = -1").count() == 6
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
-    assert "SortMergeJoin(skew=true)" in plan
+def test_shards_part_a_large_document(spark):
+    tf = spark.range(0, 90_000, 1, 16).selectExpr(
+        "if(id % 3 = 0, -1, id % 500) AS doc_id", "concat('t', id) AS term", "1L AS tf"
+    )
+    stripes = term_stripes(tf, 6)
+    plan = stripes._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning(doc_id" in plan
+    assert stripes.agg(F.sum(F.size("stripe"))).first()[0] == 90_000
+    sizes = [r.n for r in stripes.where("doc_id = -1").select(F.size("stripe").alias("n")).collect()]
+    assert len(sizes) == 6 and max(sizes) < 6000

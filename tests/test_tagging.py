@@ -10,6 +10,7 @@ from termloom import (
     pos_frequency_stripes,
     pos_stripes,
     pos_tag,
+    tag_counts,
 )
 
 
@@ -59,3 +60,15 @@ def test_a_tagger_must_give_one_tag_per_token(spark):
     df = spark.createDataFrame([(1, 0, "a b")], "doc_id int, line_no int, text string")
     with pytest.raises(Exception, match="1 tags for 2 tokens"):
         pos_tag(df, tagger=lambda tokens: ["X"]).collect()
+
+
+def test_counts_of_distinct_tokens_equal_counts_of_tagged_ones(spark, documents):
+    lines = explode_lines(documents)
+    assert rows(tag_counts(lines)) == rows(pos_frequency(pos_tag(lines)))
+
+    def by_length(tokens):
+        return [str(min(len(t), 3)) for t in tokens]
+
+    own = tag_counts(lines, tagger=by_length)
+    assert rows(own) == rows(pos_frequency(pos_tag(lines, tagger=by_length)))
+    assert "ReadSchema: struct<text:string>" in own._jdf.queryExecution().executedPlan().toString()

@@ -10,7 +10,7 @@ from conftest import rows
 from test_tokenizing import by_state_machine
 from termloom import (
     build_index,
-    corpus_size,
+    count_documents,
     corpus_tfidf,
     default_stopwords,
     document_frequency,
@@ -71,7 +71,6 @@ def test_a_document_in_several_rows_is_one_document(spark):
     corpus = spark.createDataFrame(
         [(1, "b a a"), (1, "a c"), (2, "a"), (1, "b")], "doc_id int, text string"
     )
-    assert not corpus_size(corpus).one_row_per_document
     tf = term_frequency(corpus)
     assert rows(tf) == [(1, "a", 3), (1, "b", 2), (1, "c", 1), (2, "a", 1)]
     assert rows(document_frequency(tf)) == [("a", 2), ("b", 1), ("c", 1)]
@@ -93,6 +92,18 @@ def test_options(micro, spark):
     }
 
 
+@pytest.mark.parametrize("stem", [False, True])
+def test_lists_and_tables_in_mixed_case_agree(spark, stem):
+    corpus = spark.createDataFrame([(1, "The the THE cat Öl ÖL öl")], "doc_id int, text string")
+    words = ["The", "öL"]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    options = {"case_insensitive": True, "stem": stem}
+    for own, one_row in ((corpus, True), (corpus, False), (explode_lines(corpus), False)):
+        for stopwords in (words, table, words * 20):
+            tf = term_frequency(own, stopwords, one_row_per_document=one_row, **options)
+            assert rows(tf) == [(1, "cat", 1)]
+
+
 def test_idf_and_unknown_terms(spark):
     tf = spark.createDataFrame([(1, "a", 3), (1, "b", 1)], "doc_id int, term string, tf bigint")
     df = spark.createDataFrame([("a", 9999)], "term string, df bigint")
@@ -106,6 +117,26 @@ def test_idf_and_unknown_terms(spark):
 def test_corpus_size_as_n(micro):
     scores = {(r.doc_id, r.term): r.score for r in corpus_tfidf(micro, STOP, n_docs="count").collect()}
     assert scores["d1", "mat"] == pytest.approx(math.log10(3 / 2))
+    tf = term_frequency(micro, STOP)
+    df = document_frequency(tf)
+    n = count_documents(micro)
+    for scored in (tfidf(tf, df, n), tfidf_for_terms(tf, df, n)):
+        assert {(r.doc_id, r.term): r.score for r in scored.collect()} == scores
+    assert {r.term: r.idf for r in idf(df, n).collect()}["mat"] == pytest.approx(math.log10(3 / 2))
+
+
+def test_building_a_query_runs_no_job(spark, micro):
+    spark.sparkContext.setJobGroup("building", "nothing may run yet")
+    try:
+        tf = term_frequency(micro, STOP)
+        corpus_tfidf(micro, STOP, n_docs="count")
+        top_terms_by_df(document_frequency(tf))
+        tracker = spark.sparkContext.statusTracker()
+        assert not list(tracker.getJobIdsForGroup("building"))
+        tf.count()
+        assert list(tracker.getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("stem", [False, True])
