@@ -173,4 +173,59 @@ _OP2 = r"""
     FROM listed LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_warc": _OP1, "op2_line_dedup": _OP2}
+_OP7 = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+    ),
+    reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, b)::BIGINT AS component_id,
+           vec_id = least(vec_id, b) AS kept
+    FROM embeddings LEFT JOIN counts ON vec_id = counts.a LEFT JOIN least ON vec_id = least.a
+"""
+
+
+def _words(text: str) -> str:
+    lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all(coalesce({lowered}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+_OP8 = f"""
+    WITH items AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
+    sized AS (SELECT item_id, w, least(10, len(w)) AS k FROM items WHERE len(w) > 0),
+    windows AS (
+        SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS gram
+        FROM sized
+    ),
+    docs AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+    starts AS (
+        SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows)
+    ),
+    grams AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS gram FROM starts),
+    found AS (SELECT doc_id, k, i, item_id FROM grams JOIN windows USING (k, gram)),
+    hits AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM found) GROUP BY doc_id
+    ),
+    names AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS item_list
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(item_list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+# The others compute hashes, models, files or a packing that SQL does not have.
+ORACLES: dict[str, str] = {
+    "op1_warc": _OP1,
+    "op2_line_dedup": _OP2,
+    "op7_vector_duplicates": _OP7,
+    "op8_decontamination": _OP8,
+}
