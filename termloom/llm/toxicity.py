@@ -142,11 +142,14 @@ def fit_toxicity(
                 yield pa.record_batch([*columns, part.column(1)], ["buckets", "weights", "label"])
 
     rows = sample.select(F.col("text").cast("binary"), "label").mapInArrow(run, "buckets binary, weights binary, label int")
-    # Sorted, so that the model does not depend on the order in which tasks end.
-    bags, values = [], []
-    for row in sorted(rows.toLocalIterator(prefetchPartitions=True), key=lambda r: (r["label"], bytes(r["weights"]), bytes(r["buckets"]))):
-        bags.append((np.frombuffer(row["buckets"], np.int32), np.frombuffer(row["weights"], np.float32)))
-        values.append(row["label"])
+    found = []
+    for row in rows.toLocalIterator(prefetchPartitions=True):
+        weights, buckets = bytes(row["weights"]), bytes(row["buckets"])
+        found.append((row["label"], zlib.crc32(weights), zlib.crc32(buckets), buckets, weights))
+    # So that the model does not depend on the order in which tasks end.
+    found.sort(key=lambda f: f[:3])
+    bags = [(np.frombuffer(b, np.int32), np.frombuffer(w, np.float32)) for *_, b, w in found]
+    values = [label for label, *_ in found]
     return train(bags, np.array(values, dtype=np.int64), share)
 
 
