@@ -122,6 +122,18 @@ def feature_frequencies(docs: DataFrame, *, text: str = "text") -> tuple[np.ndar
     return out[:FEATURES], int(out[FEATURES])
 
 
+def _directions(rows: np.ndarray, rank: int, rounds: int = 6) -> np.ndarray:
+    """The first ``rank`` right singular vectors as columns, by block power iteration.
+
+    Needs a few blocks of ``rank`` + 16 columns beside the rows, whatever their width.
+    """
+    block = np.random.default_rng(0).normal(size=(rows.shape[1], rank + 16)).astype(np.float32)
+    for _ in range(rounds):
+        block, _ = np.linalg.qr(rows.T @ (rows @ block))
+    _, _, turned = np.linalg.svd(rows @ block, full_matrices=False)
+    return np.ascontiguousarray((block @ turned.T)[:, :rank], dtype=np.float32)
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -154,9 +166,11 @@ def fit_quality(
 
     rows = sample.select(F.col("text").cast("binary"), "label").mapInArrow(run, "features array<bigint>, counts array<bigint>, label int")
     found = sorted((r["label"], sorted(zip(r["features"], r["counts"], strict=True))) for r in rows.collect())
-    weighted = _unit(np.log1p(_dense([dict(own) for _, own in found])) * rarity)
-    _, directions = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    directions = directions[:, ::-1][:, :rank].astype(np.float32)
+    weighted = _dense([dict(own) for _, own in found])
+    np.log1p(weighted, out=weighted)
+    weighted *= rarity
+    weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+    directions = _directions(weighted, rank)
     values = np.array([value for value, _ in found], dtype=np.float64)
     return NeighbourModel(rarity, directions, _unit(weighted @ directions), values, neighbours)
 
