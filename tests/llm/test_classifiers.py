@@ -54,8 +54,10 @@ def test_odd_rows(spark):
 
 def test_sample_is_bounded_balanced_and_fixed(spark):
     docs, labels = frames(spark)
-    sample, share = sample_labelled(docs, labels, label="toxic", rows=2, learn=F.lit(True))
-    assert sorted(r["label"] for r in sample.collect()) == [0, 1] and share == 3 / 6
+    sample, share = sample_labelled(docs, labels, label="toxic", rows=6, learn=F.lit(True))
+    assert sorted(r["label"] for r in sample.collect()) == [0, 0, 0, 1, 1] and share == 3 / 6
+    small, share = sample_labelled(docs, labels, label="toxic", rows=2, learn=F.lit(True))
+    assert small.count() <= 2 and share == 3 / 6
     held = fold(F.col("doc_id"), 5)
     got = {r["doc_id"]: r["f"] for r in labels.where("doc_id IS NOT NULL").select("doc_id", held.alias("f")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 for i in got}
@@ -73,7 +75,7 @@ def test_unseen_misspellings_score_like_the_word():
         labels.append(i % 2)
     bags = [toxicity.bag(t) for t in texts]
     model = toxicity.train(bags, np.array(labels), 0.5, epochs=8)
-    assert model.word(b"zquuxing") > 10 * abs(np.mean([model.word(w.encode()) for w in plain]))
+    assert model.word(b"zquuxing") > max(0, np.quantile([model.word(w.encode()) for w in plain], 0.95))
     for text, (buckets, weights) in zip(texts[:20], bags, strict=False):
         words = text.split()
         assert np.isclose(sum(map(model.word, words)) / len(words), (model.logits[buckets] * weights).sum(), atol=1e-3)
