@@ -215,4 +215,5 @@ def keep_one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     """
     groups = simhash_components(docs, doc_id=doc_id, text=text, **options)
     others = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"))
-    return docs.join(others.distinct(), docs[doc_id] == F.col("__gone"), "left_anti")
+    # Always by sort-merge, so that the plan is the same at every size.
+    return docs.join(others.distinct().hint("merge"), docs[doc_id] == F.col("__gone"), "left_anti")
