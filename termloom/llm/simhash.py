@@ -213,7 +213,11 @@ def keep_one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     Of rows with the same ``doc_id`` in one group all stay or none; rows with a null ``doc_id``
     cannot be told apart and stay.
     """
-    groups = simhash_components(docs, doc_id=doc_id, text=text, **options)
+    return without_others(docs, simhash_components(docs, doc_id=doc_id, text=text, **options), doc_id=doc_id)
+
+
+def without_others(docs: DataFrame, groups: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is their ``component_id`` in ``groups``, or null."""
     others = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"))
     # Always by sort-merge, so that the plan is the same at every size.
     return docs.join(others.distinct().hint("merge"), docs[doc_id] == F.col("__gone"), "left_anti")
