@@ -8,7 +8,7 @@ import string
 import struct
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import compress
 from operator import not_
 
@@ -164,11 +164,14 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def piecewise(encode: Callable[[str], list[int]], encode_word: Callable[[str], list[int]], width: int):
+def piecewise(
+    encode: Callable[[str], list[int]], encode_word: Callable[[str], list[int]], width: int, added: Sequence[str] = ()
+):
     """An encoder of lists of texts to bytes of ids that encodes each distinct piece once.
 
     ``encode`` takes any text, ``encode_word`` the byte characters of a word of letters alone,
-    with or without a blank before it.
+    with or without a blank before it. A text that contains one of the ``added`` tokens is
+    encoded as a whole.
     """
     kind = {2: "H", 4: "I"}[width]
     table = byte_characters()
@@ -229,7 +232,7 @@ def piecewise(encode: Callable[[str], list[int]], encode_word: Callable[[str], l
     def run(texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            pieces = pieces_of(text)
+            pieces = None if any(token in text for token in added) else pieces_of(text)
             if pieces is None:
                 out.append(packed(encode(text)))
                 continue
@@ -255,9 +258,7 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _LOADED[path] = tokenizer
+        _LOADED[path] = Tokenizer.from_file(path)
     return _LOADED[path]
 
 
@@ -270,6 +271,7 @@ def _encoder(path: str, width: int):
             lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
             lambda word: [token.id for token in model.tokenize(word)],
             width,
+            [token.content for token in tokenizer.get_added_tokens_decoder().values()],
         )
     return _LOADED[key]
 
@@ -288,7 +290,8 @@ def write_token_files(
 ) -> None:
     """Write the token ids of all texts in ascending ``doc_id`` order to files below ``path``.
 
-    Each document is its whole text's ids and ``end_id``; a null text is ``end_id`` alone. Rows
+    Each document is its whole text's ids and ``end_id``; a null text is ``end_id`` alone. The
+    content of an added token in a text, special or not, is that token's id. Rows
     with a null ``doc_id`` come first; rows that repeat an id keep together in text order.
     ``shards`` ranges of ids (default: as many as shuffle partitions), with bounds that Spark
     samples, are dealt to tasks: texts are shuffled once, as text, and encoded

@@ -55,6 +55,16 @@ def test_odd_texts(spark, tokenizer, width):
     assert read_token_files(spark, folder + "-none").count() == 0
 
 
+def test_added_tokens_in_texts(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "a  b<|endoftext|>"), (3, "<|endoftext|>\n<|endoftext|> c"), (4, "<|endoftext |> d")]
+    folder = shared_folder(spark)
+    write_token_files(spark.createDataFrame(rows, "doc_id bigint, text string"), folder, PATH)
+    got = read_token_files(spark, folder).collect()
+    assert np.frombuffer(min(got)["ids"], "<u2").tolist() == [64, 220, 50256, 275, 0]
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got)
+    assert got == expected(rows, Tokenizer.from_file(PATH))
+
+
 def test_elias_fano():
     rng = random.Random(2)
     for values in ([], [0], [5], [0, 0, 0], list(range(1000)), sorted(rng.randrange(1 << 40) for _ in range(700)), [7] * 600 + [1 << 50]):
