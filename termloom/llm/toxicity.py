@@ -18,23 +18,32 @@ from termloom.llm.staging import byte_texts
 BUCKETS = 1 << 15
 #: Sizes of the character n-grams of a word with its ends marked.
 SIZES = (3, 4, 5)
-#: Longer words count by their first and last so many bytes.
-_ENDS = 32
+#: Longer words, such as whole texts without blanks, are added up in chunks and not remembered.
+_LONG = 64
+#: Places in a word whose n-grams are made at a time.
+_CHUNK = 1 << 14
 #: Inputs of the softmax are scaled by this, so that small averages can matter.
 _SCALE = 300.0
 #: Words that a task remembers, at most.
 _REMEMBERED = 300_000
 
 
-def subwords(word: bytes) -> list[int]:
-    """The buckets of a word and of its character n-grams."""
-    if len(word) > 2 * _ENDS:
-        word = word[:_ENDS] + word[-_ENDS:]
+def subword_chunks(word: bytes) -> Iterator[list[int]]:
+    """The buckets of a word and of all its character n-grams, some thousand places at a time."""
     marked = b"<" + word + b">"
     crc = zlib.crc32
-    grams = [crc(marked[i : i + n]) % BUCKETS for n in SIZES for i in range(len(marked) - n + 1)]
-    grams.append(crc(marked) % BUCKETS)
-    return grams
+    for at in range(0, len(marked), _CHUNK):
+        # Chunks overlap, so that no n-gram is lost between two of them.
+        part = marked[at : at + _CHUNK + max(SIZES) - 1]
+        grams = [crc(part[i : i + n]) % BUCKETS for n in SIZES for i in range(min(_CHUNK, len(part) - n + 1))]
+        if at + _CHUNK >= len(marked):
+            grams.append(crc(marked) % BUCKETS)
+        yield grams
+
+
+def subwords(word: bytes) -> list[int]:
+    """All of them at once."""
+    return [bucket for part in subword_chunks(word) for bucket in part]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -47,6 +56,14 @@ def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     total = sum(counts.values())
     buckets, weights = [], []
     for word, n in counts.items():
+        if len(word) > _LONG:
+            grams = np.zeros(BUCKETS, dtype=np.int64)
+            for part in subword_chunks(word):
+                grams += np.bincount(part, minlength=BUCKETS)
+            has = np.flatnonzero(grams)
+            buckets += has.tolist()
+            weights += (grams[has] * (n / grams.sum() / total)).tolist()
+            continue
         own = subwords(word)
         buckets += own
         weights += [n / len(own) / total] * len(own)
@@ -62,8 +79,11 @@ class SubwordModel:
     bias: float
 
     def word(self, word: bytes) -> float:
-        own = subwords(word)
-        return float(self.logits[own].sum() / len(own))
+        total, n = 0.0, 0
+        for part in subword_chunks(word):
+            total += self.logits[part].sum()
+            n += len(part)
+        return float(total / n)
 
 
 class _Adam:
@@ -169,12 +189,13 @@ def score_toxicity(docs: DataFrame, model: SubwordModel, *, doc_id: str = "doc_i
             for content in byte_texts(batch.column(1)):
                 words = words_of(content)
                 counts = Counter(words)
-                new = [w for w in counts if w not in known]
+                long = {w: model.word(w) for w in counts if len(w) > _LONG}
+                new = [w for w in counts if w not in known and w not in long]
                 if len(known) + len(new) > _REMEMBERED:
                     known.clear()
-                    new = list(counts)
+                    new = [w for w in counts if w not in long]
                 known.update((w, model.word(w)) for w in new)
-                total = sum(known[w] * n for w, n in counts.items())
+                total = sum((long[w] if w in long else known[w]) * n for w, n in counts.items())
                 sums.append(total / len(words) if words else 0.0)
             z = np.clip(np.array(sums) + model.bias, -500, 500)
             yield pa.record_batch([batch.column(0), pa.array(1 / (1 + np.exp(-z)))], ["doc_id", "score"])

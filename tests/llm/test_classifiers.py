@@ -82,6 +82,29 @@ def test_unseen_misspellings_score_like_the_word():
         assert np.isclose(sum(map(model.word, words)) / len(words), (model.logits[buckets] * weights).sum(), atol=1e-3)
 
 
+def test_toxic_word_in_the_middle_of_an_unbroken_text(spark):
+    logits = np.zeros(toxicity.BUCKETS)
+    logits[zlib.crc32(b"zquux") % toxicity.BUCKETS] = 5000.0
+    side = "abcdefgh" * 25
+    docs = spark.createDataFrame([(0, side + "abcde" + side), (1, side + "zquux" + side)], "doc_id int, text string")
+    scores = toxicity.score_toxicity(docs, toxicity.SubwordModel(logits, -1.0)).orderBy("doc_id").collect()
+    clean, toxic = (r["score"] for r in scores)
+    assert clean < 0.5 < toxic
+
+
+def test_long_words_are_taken_whole():
+    for size in (1, 64, 65, toxicity._CHUNK - 2, toxicity._CHUNK - 1, toxicity._CHUNK, 2 * toxicity._CHUNK + 3):
+        word = random.Random(size).randbytes(size)
+        marked = b"<" + word + b">"
+        want = [zlib.crc32(marked[i : i + n]) % toxicity.BUCKETS for n in toxicity.SIZES for i in range(len(marked) - n + 1)]
+        want.append(zlib.crc32(marked) % toxicity.BUCKETS)
+        assert sorted(toxicity.subwords(word)) == sorted(want)
+        # White space in the random bytes would be several words.
+        buckets, weights = toxicity.bag(word.hex().encode())
+        own = np.bincount(toxicity.subwords(word.hex().encode()), minlength=toxicity.BUCKETS)
+        assert np.array_equal(buckets, np.flatnonzero(own)) and np.allclose(weights, own[buckets] / own.sum())
+
+
 def test_neighbour_votes_equal_brute_force():
     rng = np.random.default_rng(9)
     vectors = rng.normal(size=(50, 4))
