@@ -28,8 +28,10 @@ def site_spread(lines: DataFrame, min_sites: int) -> DataFrame:
     a few kilobytes in each task. Estimates within eight standard errors of the threshold are
     settled by exact distinct counts of those lines alone. Null sites do not count.
     """
+    # Sketches pass over empty strings, so they get the site with a mark; null stays null.
+    marked = F.concat(F.lit("/"), "site")
     sketches = lines.groupBy("key").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_REGISTERS)).alias("sites"),
+        F.hll_sketch_estimate(F.hll_sketch_agg(marked, LG_REGISTERS)).alias("sites"),
     )
     # A line that is there fewer times than the threshold needs no further look.
     estimates = stage(sketches.where(F.col("sites") >= min_sites * (1 - NEAR)))

@@ -59,3 +59,10 @@ def test_counts_near_the_threshold_are_exact(spark):
     for threshold in (*sizes.values(), max(sizes.values()) + 1):
         got = {r["key"] for r in site_spread(lines, threshold).collect()}
         assert got == {k for k, n in sizes.items() if n >= threshold}
+
+
+def test_an_empty_site_is_a_site(spark):
+    rows = [(i, site, "one two three\nown line " + "x" * i) for i, site in enumerate(["", "a", "b", None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in remove_boilerplate(docs).collect()), key=str)
+    assert got == plain(rows) and got[1][1] == "own line x"
