@@ -9,8 +9,11 @@ from termloom.llm.decontaminate import find_contamination
 from termloom.llm.labelled import fold
 from termloom.llm.license_scan import scan_licenses
 from termloom.llm.line_dedup import remove_boilerplate
+from termloom.llm.manifest import digest_of, fold_proofs, merkle_proofs
+from termloom.llm.neighbours import nearest_neighbours
 from termloom.llm.packing import pack_documents, with_sizes
 from termloom.llm.quality import fit_quality, score_quality
+from termloom.llm.ranked_search import ranked_search
 from termloom.llm.simhash import simhash_components
 from termloom.llm.token_files import read_token_files, write_token_files
 from termloom.llm.toxicity import fit_toxicity, score_toxicity
@@ -123,6 +126,38 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(score_quality(documents, model, keep=["doc_id"]), 3, 1)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search(documents, _table(spark, sf_dir, "benchmark"))
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id 20 divides."""
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, folded again with some of the documents changed."""
+    documents = _table(spark, sf_dir, "documents")
+    parts = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    # A decimal, so that the largest long has a successor.
+    longer = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    tampered = F.coalesce(fold(F.col("doc_id"), 7) == 0, F.lit(False))
+    changed = F.when(tampered, digest_of(*parts[:3], longer, parts[4]))
+    leaves = documents.select("doc_id", "lang", digest_of(*parts).alias("leaf"), changed.alias("changed"))
+    proofs = merkle_proofs(leaves).withColumn("now", F.coalesce("changed", "leaf"))
+    return fold_proofs(proofs, leaf="now").select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -134,6 +169,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_neighbours": op12_neighbours,
+    "op13_manifest": op13_manifest,
 }
 
 # Five hexadecimal digits are four of base 32.
@@ -222,10 +260,96 @@ _OP8 = f"""
     FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
+_OP11 = f"""
+    WITH docs AS (SELECT doc_id, {_words("text")} AS w FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM docs) GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    total AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0),
+    sized AS (SELECT doc_id, 50 + (50 * len(w) * n_docs) // n_terms AS m FROM docs, total),
+    weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM df, total),
+    terms AS (SELECT DISTINCT item_id, unnest({_words("text")}) AS term FROM benchmark),
+    scores AS (
+        SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+        FROM terms JOIN weights USING (term) JOIN tf USING (term) JOIN sized USING (doc_id) GROUP BY ALL
+    ),
+    ranked AS (
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scores WHERE score > 0
+    )
+    SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+def _leaf(n_chars: str) -> str:
+    def part(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+    return f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# The polynomial of crc32, bit by bit over the digits of the id.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, _: xor(x // 2, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+_OP13 = f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+               CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS changed
+        FROM documents
+    ),
+    places AS (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS size
+        FROM leaves
+    ),
+    nodes AS (
+        SELECT tree, 0 AS level, place, size, leaf AS hash FROM places
+        UNION ALL
+        SELECT tree, level + 1, place // 2, any_value(size + 1) // 2, sha256(string_agg(hash, '' ORDER BY place))
+        FROM nodes WHERE size > 1 GROUP BY tree, level, place // 2
+    ),
+    subroots AS (
+        SELECT tree, level AS height, hash AS subroot, row_number() OVER (ORDER BY tree::BLOB) - 1 AS place, count(*) OVER () AS size
+        FROM nodes WHERE size = 1
+    ),
+    tops AS (
+        SELECT 0 AS level, place, size, subroot AS hash FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 2, any_value(size + 1) // 2, sha256(string_agg(hash, '' ORDER BY place))
+        FROM tops WHERE size > 1 GROUP BY level, place // 2
+    ),
+    root AS (SELECT hash AS root FROM tops WHERE size = 1),
+    rows AS (
+        SELECT doc_id, p.tree, p.place, p.size, leaf, coalesce(changed, leaf) AS now, height, subroot, root, s.place AS top, s.size AS tops
+        FROM places p JOIN subroots s ON p.tree = s.tree, root
+    ),
+    ways AS (
+        SELECT r.tree, r.place, n.level, n.hash FROM rows r JOIN nodes n ON n.tree = r.tree AND n.place = xor(r.place >> n.level, 1)
+        WHERE n.level < r.height
+        UNION ALL
+        SELECT r.tree, r.place, r.height + t.level, t.hash FROM rows r JOIN tops t ON t.place = xor(r.top >> t.level, 1)
+    ),
+    digests AS (SELECT tree, place, sha256(string_agg(hash, '' ORDER BY level)) AS proof_sha256 FROM ways GROUP BY tree, place),
+    folds AS (
+        SELECT tree, place, 0 AS level, height, top, size, tops, now FROM rows
+        UNION ALL
+        SELECT f.tree, f.place, f.level + 1, height, top, size, tops,
+               CASE WHEN w.hash IS NULL THEN sha256(now)
+                    WHEN (CASE WHEN f.level < height THEN f.place >> f.level ELSE top >> (f.level - height) END) % 2 = 1 THEN sha256(w.hash || now)
+                    ELSE sha256(now || w.hash) END
+        FROM folds f LEFT JOIN ways w ON f.tree = w.tree AND f.place = w.place AND f.level = w.level
+        WHERE f.level < height OR (tops - 1) >> (f.level - height) > 0
+    ),
+    folded AS (SELECT tree, place, arg_max(now, level) AS folded_root FROM folds GROUP BY tree, place)
+    SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM rows LEFT JOIN digests USING (tree, place) JOIN folded USING (tree, place)
+"""
+
 # The others compute hashes, models, files or a packing that SQL does not have.
 ORACLES: dict[str, str] = {
     "op1_warc": _OP1,
     "op2_line_dedup": _OP2,
     "op7_vector_duplicates": _OP7,
     "op8_decontamination": _OP8,
+    "op11_ranked_search": _OP11,
+    "op13_manifest": _OP13,
 }
