@@ -155,6 +155,7 @@ def _top_scores(order: str) -> str:
 
 _MIXED_CASE = "('the', 'and', 'of', 'la', 'de', 'der', 'und', 'que', 'y', '.', ',')"
 _WITHOUT_FRENCH = "SELECT doc_id, CASE WHEN lang <> 'fr' THEN text END AS text FROM documents"
+_SOURCES = "SELECT lang || chr(9) || source || chr(92) || chr(10) AS doc_id, text FROM documents"
 _CONVERSATIONS = "SELECT conv_id AS doc_id, text FROM conversations"
 _TOKEN_COUNTS = f"""
     WITH {_terms()} SELECT token, count(*) AS n FROM tokens GROUP BY token
@@ -239,4 +240,20 @@ ORACLES = {
     """,
     "conversation_term_frequency": f"WITH {_terms(_CONVERSATIONS)}, {_TF} SELECT doc_id, term, tf FROM tf",
     "conversation_tfidf": _scores(_CONVERSATIONS),
+    "vocabulary": f"WITH {_terms()} SELECT DISTINCT term FROM terms",
+    "dictionary_stemmed_term_frequency": f"WITH {_terms()}, {_STEMS}, {_STEMMED_TF} SELECT doc_id, term, tf FROM tf",
+    "resumed_index_tfidf": _STEMMED_TFIDF,
+    "stemmed_tfidf_corpus_n": f"""
+        WITH {_terms()}, {_STEMS}, {_STEMMED_TF}, {_STEMMED_DF}
+        SELECT tf.doc_id, tf.term, {_score("(SELECT count(*)::DOUBLE FROM documents)")} AS score
+        FROM tf JOIN df USING (term)
+    """,
+    "conversation_tfidf_corpus_n": f"""
+        WITH {_terms(_CONVERSATIONS)}, {_TF}, {_DF}
+        SELECT tf.doc_id, tf.term, {_score("(SELECT count(DISTINCT conv_id)::DOUBLE FROM conversations)")} AS score
+        FROM tf JOIN df USING (term)
+    """,
+    "escaped_tsv_round_trip": f"""
+        WITH {_terms(_SOURCES)} SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term
+    """,
 }

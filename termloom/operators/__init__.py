@@ -15,6 +15,8 @@ from termloom.operators.tagging import (
     tag_counts,
 )
 from termloom.operators.terms import (
+    apply_stems,
+    distinct_terms,
     document_frequency,
     idf,
     stem_vocabulary,
@@ -29,6 +31,8 @@ from termloom.operators.tokens import (
 )
 
 __all__ = [
+    "apply_stems",
+    "distinct_terms",
     "document_frequency",
     "explode_lines",
     "explode_stripes",

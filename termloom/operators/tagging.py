@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,23 +31,28 @@ def _tagged_lines(lines: DataFrame, make_tagger: Callable[[], Tagger] | None) ->
 
         return tokens.withColumn("tags", F.transform("tokens", by_rule))
 
-    def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tagger = make_tagger()
-
-        def tags_of(line) -> list[str]:
-            if line is None or not len(line):
-                return []
-            tags = list(tagger(list(line)))
-            if len(tags) != len(line):
-                raise ValueError(f"the tagger gave {len(tags)} tags for {len(line)} tokens")
-            return tags
-
-        for batch in batches:
-            yield batch.assign(tags=[tags_of(line) for line in batch["tokens"]])
-
+    at = tokens.columns.index("tokens")
     tags = T.StructField("tags", T.ArrayType(T.StringType()))
     schema = T.StructType([*tokens.schema.fields, tags])
-    return tokens.mapInPandas(tag, schema)
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = make_tagger()
+        for batch in batches:
+            # All tokens of a batch as one list, and where in it each line ends; null lines are empty.
+            flat = batch.column(at).flatten().to_pylist()
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+            found: list[str] = []
+            for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False):
+                if end > start:
+                    own = list(tagger(flat[start:end]))
+                    if len(own) != end - start:
+                        raise ValueError(f"the tagger gave {len(own)} tags for {end - start} tokens")
+                    found += own
+            offsets = pa.array([0, *ends.tolist()], pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(found, pa.string()))
+            yield pa.record_batch([*batch.columns, lists], names=schema.names)
+
+    return tokens.mapInArrow(tag, schema)
 
 
 def pos_tag(

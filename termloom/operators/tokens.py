@@ -35,7 +35,7 @@ def remove_stopwords(
     token, word = F.col("token"), F.col("word")
     if case_insensitive:
         token, word = F.lower(token), F.lower(word)
-    return tokens.join(stopwords.select("word"), same_value(token, word), "left_anti")
+    return tokens.join(stopwords.where("word IS NOT NULL").select("word"), same_value(token, word), "left_anti")
 
 
 def normalize(tokens: DataFrame) -> DataFrame:

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from termloom.functions.scoring import DEFAULT_N_DOCS
 from termloom.operators.scoring import tfidf
 from termloom.operators.terms import document_frequency, term_frequency
+from termloom.sinks.manifests import input_digest
 from termloom.sinks.tables import write_table
 from termloom.sources.corpus import count_documents
 
@@ -24,8 +26,8 @@ class Index:
     tfidf: DataFrame
 
 
-def _number(corpus: DataFrame, n_docs: float | str | DataFrame) -> float | DataFrame:
-    return count_documents(corpus) if isinstance(n_docs, str) and n_docs == "count" else n_docs
+def _counted(n_docs: float | str | DataFrame) -> bool:
+    return isinstance(n_docs, str) and n_docs == "count"
 
 
 def corpus_tfidf(
@@ -37,13 +39,20 @@ def corpus_tfidf(
 ) -> DataFrame:
     """TF-IDF of a corpus as one plan, ``(doc_id, term, tf, df, score)``.
 
-    ``n_docs="count"`` counts the documents of the corpus in the same plan. Options are
-    those of ``term_frequency``. The counts are best shuffled even if every document is
+    ``n_docs="count"`` counts the documents of the corpus in the shuffle of the counts, where
+    each has a row of its own, so the corpus is read once. Options are those of
+    ``term_frequency``. The counts are best shuffled even if every document is
     one row: the df table and the scores then share that shuffle, which costs less than
     tokenizing the corpus twice.
     """
-    tf = term_frequency(corpus, stopwords, **options)
-    return tfidf(tf, document_frequency(tf), _number(corpus, n_docs))
+    if _counted(n_docs):
+        counts = term_frequency(corpus, stopwords, documents=True, **options)
+        # Tests of the sum, which Spark cannot move below it, so that all branches share the shuffle.
+        n_docs = counts.where("tf = 0").agg(F.count(F.lit(1)).alias("n_docs"))
+        tf = counts.where("tf > 0")
+    else:
+        tf = term_frequency(corpus, stopwords, **options)
+    return tfidf(tf, document_frequency(tf), n_docs)
 
 
 def build_index(
@@ -61,10 +70,23 @@ def build_index(
     The text is read and tokenized once, a lost executor costs the running stage
     only, and the last join is planned with the true size of the df table; see
     ``tfidf`` for ``common_terms``. ``folder`` must be one that all executors share.
-    With ``resume``, stages that an earlier run finished there are kept; it must have
-    been a run on the same corpus with the same options.
+    With ``resume``, stages that an earlier run finished there are kept. Each stage says what it
+    was made from: the corpus' files with their sizes and times, the options and the version of
+    the rules. If these differ now, a ``ValueError`` tells so and nothing is changed. A corpus that
+    reads no files (one made in the session) is taken to be the same.
     """
-    tf = write_table(term_frequency(corpus, stopwords, **options), f"{folder}/tf", resume=resume)
-    df = write_table(document_frequency(tf), f"{folder}/df", resume=resume)
-    scores = tfidf(tf, df, _number(corpus, n_docs), common_terms=common_terms)
-    return Index(tf, df, write_table(scores, f"{folder}/tfidf", resume=resume))
+    made = {"corpus": input_digest(corpus), "stopwords": _named(stopwords)}
+    made |= {name: _named(value) for name, value in options.items()}
+    tf = write_table(term_frequency(corpus, stopwords, **options), f"{folder}/tf", resume=resume, made_from=made)
+    df = write_table(document_frequency(tf), f"{folder}/df", resume=resume, made_from=made)
+    number = count_documents(corpus) if _counted(n_docs) else n_docs
+    scores = tfidf(tf, df, number, common_terms=common_terms)
+    made |= {"n_docs": _named(n_docs), "common_terms": common_terms}
+    return Index(tf, df, write_table(scores, f"{folder}/tfidf", resume=resume, made_from=made))
+
+
+def _named(value: object) -> object:
+    """An option in a form that can be compared with that of another run."""
+    if isinstance(value, DataFrame):
+        return {"table": input_digest(value)}
+    return value if isinstance(value, (bool, int, float, str)) or value is None else sorted(map(str, value))

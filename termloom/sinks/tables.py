@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.functions.fields import escape_field
+from termloom.sinks.manifests import differences, read_manifest, write_manifest
 
 def write_tsv(
     df: DataFrame,
@@ -19,28 +21,42 @@ def write_tsv(
     """Write ``columns`` as tab-separated text without header or quoting.
 
     ``sort`` orders the whole output by the columns in turn, through a range
-    partitioning. Nulls become empty fields.
+    partitioning. Nulls become empty fields. A tab, line feed, carriage return or backslash in
+    a field is written as ``\\t``, ``\\n``, ``\\r`` or two backslashes, so that every row stays
+    one line with its fields; other fields are written as they are.
     """
     columns = columns or df.columns
     rows = df.select(*columns)
     if sort:
         rows = rows.orderBy(*columns)
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    fields = [escape_field(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns]
     rows.select(F.concat_ws("\t", *fields).alias("value")).write.mode(mode).text(path)
 
 
 def write_table(
-    df: DataFrame, path: str, *, mode: str = "errorifexists", resume: bool = False
+    df: DataFrame, path: str, *, mode: str = "errorifexists", resume: bool = False, made_from: dict | None = None
 ) -> DataFrame:
     """Write ``df`` as parquet and return it read back.
 
     Cuts the lineage, survives the loss of executors, and lets later joins plan
     with the true size of the table. With ``resume``, a table that an earlier run
     finished (it has a ``_SUCCESS`` file) is taken as it is, and an unfinished one replaced.
+
+    ``made_from`` is noted beside the table: what it was made from, as text and numbers. A
+    finished table with another note is neither taken nor replaced; a ``ValueError`` names what
+    differs. One whose note is missing counts as unfinished.
     """
     spark = df.sparkSession
-    if not (resume and _exists(spark, f"{path}/_SUCCESS")):
+    finished = resume and _exists(spark, f"{path}/_SUCCESS")
+    if finished and made_from is not None:
+        before = read_manifest(spark, path)
+        finished = before is not None
+        if finished and (changed := differences(before, made_from)):
+            raise ValueError(f"{path} was made from something else, it differs in: {', '.join(changed)}")
+    if not finished:
         df.write.mode("overwrite" if resume else mode).parquet(path)
+        if made_from is not None:
+            write_manifest(spark, path, made_from)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ from termloom.sources.tables import (
     default_stopwords,
     read_df_table,
     read_stopwords,
+    read_tsv,
     stopword_list,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "read_corpus_text",
     "read_df_table",
     "read_stopwords",
+    "read_tsv",
     "stopword_list",
 ]

@@ -7,6 +7,8 @@ from importlib.resources import files
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.functions.fields import unescape_field
+
 
 def stopword_list() -> list[str]:
     """The stopwords shipped with the package."""
@@ -25,12 +27,28 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     return words.where(F.col("word") != "").distinct()
 
 
+def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table written by ``write_tsv``, with the columns and types of ``schema``.
+
+    Read as plain lines, as a csv reader takes a field ``"`` for a quote. Fields come back as
+    they were; an empty field is an empty string, or null in a column of another type.
+    """
+    fields = F.split("value", "\t")
+    types = spark.createDataFrame([], schema).schema
+    columns = []
+    for at, field in enumerate(types.fields):
+        text = unescape_field(F.get(fields, at))
+        is_text = field.dataType.simpleString() == "string"
+        value = text if is_text else F.nullif(text, F.lit("")).cast(field.dataType)
+        columns.append(value.alias(field.name))
+    return spark.read.text(path).select(*columns)
+
+
 def read_df_table(spark: SparkSession, path: str) -> DataFrame:
     """A document frequency table written by ``write_tsv``, as ``(term, df)``.
 
-    Read as plain lines: a csv reader takes the term ``"`` for a quote. A term that stands
-    there several times, as when a folder holds the output of two jobs, has its largest df.
+    A term that stands there several times, as when a folder holds the output of two jobs,
+    has its largest df.
     """
-    parts = F.split("value", "\t")
-    rows = spark.read.text(path).select(parts[0].alias("term"), parts[1].cast("bigint").alias("df"))
+    rows = read_tsv(spark, path, "term string, df bigint")
     return rows.groupBy("term").agg(F.max("df").alias("df"))

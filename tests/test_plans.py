@@ -3,7 +3,9 @@
 import re
 
 from termloom import (
+    corpus_tfidf,
     default_stopwords,
+    distinct_terms,
     document_frequency,
     explode_lines,
     explode_tokens,
@@ -58,6 +60,23 @@ def test_scores_and_df_share_the_counts(spark):
         assert plan.count("Scan parquet") == 1
 
 
+def test_counted_documents_come_out_of_the_shuffle_of_the_counts(spark):
+    for options in ({}, {"stem": True}):
+        scores = corpus_tfidf(raw(spark).select("doc_id", "text"), STOP, n_docs="count", **options)
+        lines = executed(scores, whole=True).splitlines()
+        # Scans that ran stand below compiled code; the number's own plan is printed twice.
+        pairs = zip(lines, lines[1:])
+        ran = {re.search(r"FileScan parquet \[(.*?)\]", l)[1] for above, l in pairs if "FileScan" in l and ") ColumnarToRow" in above}
+        assert len(ran) == 1
+        assert sum("ReusedExchange" in l for l in lines) >= 2
+
+
+def test_a_vocabulary_is_distinct_before_its_shuffle(spark):
+    plan = executed(distinct_terms(raw(spark), STOP))
+    assert plan.count("Exchange hashpartitioning(term") == plan.count("Exchange ") == 1
+    assert plan.count("HashAggregate") == 2
+
+
 def test_stripes_share_the_counts(spark):
     stripes = row_stripes(raw(spark), STOP)
     plan = executed(tfidf_stripes(stripes, document_frequency(sum_stripes(stripes))))

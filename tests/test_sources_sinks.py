@@ -1,4 +1,5 @@
 import gzip
+import itertools
 
 import pytest
 
@@ -10,12 +11,14 @@ from termloom import (
     document_frequency,
     drop_folder,
     explode_tokens,
+    input_digest,
     pos_frequency,
     pos_tag,
     read_corpus_parquet,
     read_corpus_text,
     read_df_table,
     read_stopwords,
+    read_tsv,
     shared_folder,
     stopword_list,
     term_frequency,
@@ -76,6 +79,29 @@ def test_tsv_round_trip_keeps_awkward_terms(spark, tmp_path):
     assert rows(read_df_table(spark, str(tmp_path / "df"))) == rows(df)
 
 
+def test_marks_that_end_fields_and_lines_come_back(spark, tmp_path):
+    marks = ["\t", "\n", "\r", "\\", "t", "n", "r", ""]
+    fields = ["".join(p) for n in range(5) for p in itertools.product(marks, repeat=n)] + ["a\tb\\", "é\r\n日本", "plain"]
+    df = spark.createDataFrame([(f, i, i / 8) for i, f in enumerate(fields)], "doc string, n int, score double")
+    write_tsv(df.repartition(3), str(tmp_path / "out"))
+    schema = "doc string, n int, score double"
+    assert rows(read_tsv(spark, str(tmp_path / "out"), schema)) == rows(df)
+    lines = [line for part in (tmp_path / "out").glob("part-*") for line in part.read_bytes().split(b"\n")[:-1]]
+    assert len(lines) == len(fields) and all(line.count(b"\t") == 2 and b"\r" not in line for line in lines)
+    # Fields that need no escape stand there as they are, and what others wrote is read as it is.
+    assert any(line.startswith(b"plain\t") for line in lines)
+    (tmp_path / "own").mkdir()
+    (tmp_path / "own" / "x").write_text("\\\t3\na\\b\t4\n\\\"\t\n")
+    got = read_tsv(spark, str(tmp_path / "own"), "term string, df bigint").collect()
+    assert sorted(map(tuple, got), key=str) == [('\\"', None), ("\\", 3), ("a\\b", 4)]
+
+
+def test_nulls_become_empty_fields(spark, tmp_path):
+    df = spark.createDataFrame([(None, None, 1.5), ("", 2, None)], "a string, b int, c double")
+    write_tsv(df, str(tmp_path / "out"))
+    assert sorted(map(tuple, read_tsv(spark, str(tmp_path / "out"), "a string, b int, c double").collect()), key=str) == [("", 2, None), ("", None, 1.5)]
+
+
 def test_a_repeated_term_has_its_largest_df(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 5), ("a", 3)], "term string, df bigint")
     write_tsv(df, str(tmp_path / "df"))
@@ -110,6 +136,28 @@ def test_finished_stages_are_kept_on_request(spark):
         build_index(corpus, folder)
 
 
+def test_stages_of_another_corpus_or_other_options_are_not_taken(spark, tmp_path):
+    corpus = str(tmp_path / "corpus")
+    spark.createDataFrame([(1, "running cats"), (2, "cat")], "doc_id int, text string").write.parquet(corpus)
+    read = lambda: read_corpus_parquet(spark, corpus)
+    folder = shared_folder(spark)
+    first = rows(build_index(read(), folder, ["a"], stem=True).tfidf)
+    drop_folder(spark, f"{folder}/tfidf/_SUCCESS")
+    assert rows(build_index(read(), folder, ["a"], stem=True, resume=True).tfidf) == first
+    for stopwords, options, name in ((["a"], {}, "stem"), (["b"], {"stem": True}, "stopwords"), (["a"], {"stem": True, "n_docs": 5}, "n_docs")):
+        with pytest.raises(ValueError, match=name):
+            build_index(read(), folder, stopwords, resume=True, **options)
+    # A table without its note is unfinished, and made again.
+    drop_folder(spark, f"{folder}/df/_MADE_FROM")
+    assert rows(build_index(read(), folder, ["a"], stem=True, resume=True).tfidf) == first
+    spark.createDataFrame([(3, "cat dog")], "doc_id int, text string").write.mode("append").parquet(corpus)
+    with pytest.raises(ValueError, match="corpus"):
+        build_index(read(), folder, ["a"], stem=True, resume=True)
+    assert rows(spark.read.parquet(f"{folder}/tfidf")) == first
+    assert input_digest(read()) == input_digest(read().where("doc_id > 1"))
+    assert input_digest(spark.range(3).toDF("doc_id")) is None
+
+
 def test_sorted_tsv_is_in_order_over_all_files(spark, tmp_path):
     df = spark.createDataFrame([(f"t{i:03}", i, 0.5) for i in range(300)], "k string, n int, s double")
     write_tsv(df.repartition(5), str(tmp_path / "out"), ["k", "s"], sort=True)

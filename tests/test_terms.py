@@ -13,6 +13,7 @@ from termloom import (
     count_documents,
     corpus_tfidf,
     default_stopwords,
+    distinct_terms,
     document_frequency,
     explode_lines,
     idf,
@@ -166,3 +167,32 @@ def test_one_document_and_one_term_hold_a_third_of_everything(spark):
         for row in scored:
             score = expected[row.doc_id, row.term] * math.log10(10000 / (df[row.term] + 1))
             assert row.score == pytest.approx(score)
+
+
+def test_documents_are_counted_with_and_without_terms(spark):
+    corpus = spark.createDataFrame(
+        [(1, "a b a"), (1, "the"), (2, None), (3, ""), (None, "b"), (None, "c"), (4, "the 42")], "doc_id int, text string"
+    )
+    for stopwords in (["the"], spark.createDataFrame([("the",), (None,)], "word string")):
+        for options in ({}, {"stem": True}, {"words_only": True}):
+            counts = term_frequency(corpus, stopwords, documents=True, **options)
+            marked = counts.where("term IS NULL")
+            assert sorted((r.doc_id or 0, r.tf) for r in marked.collect()) == [(i, 0) for i in range(5)]
+            plain = term_frequency(corpus, stopwords, **options)
+            assert sorted(map(tuple, counts.where("tf > 0").collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    one_row = corpus.where("doc_id > 1")
+    marked = term_frequency(one_row, ["the"], documents=True, one_row_per_document=True)
+    assert sorted(map(tuple, marked.collect()), key=str) == [(2, None, 0), (3, None, 0), (4, "42", 1), (4, None, 0)]
+    scores = corpus_tfidf(corpus, ["the"], n_docs="count")
+    assert rows(scores.where("term = 'a'").select("tf", "df", F.round("score", 6))) == [(2, 1, round(2 * math.log10(5 / 2), 6))]
+
+
+def test_a_stem_dictionary_is_joined_to_the_counts(spark):
+    corpus = spark.createDataFrame([(1, "cats cat dogs mice"), (1, "Cat"), (2, "mice mouse")], "doc_id int, text string")
+    stems = [("cats", "cat"), ("dogs", "dog"), ("mice", "mouse"), ("mice", "zzz"), ("unused", "x"), ("dog", None)]
+    table = spark.createDataFrame(stems, "term string, stem string")
+    want = [(1, "cat", 3), (1, "dog", 1), (1, "mouse", 1), (2, "mouse", 2)]
+    assert rows(term_frequency(corpus, stem=table)) == want
+    assert rows(term_frequency(corpus, stem=table, one_row_per_document=True)) == want
+    assert rows(term_frequency(corpus, stem=table.limit(0))) == rows(term_frequency(corpus))
+    assert rows(distinct_terms(corpus, ["mice"])) == [("cat",), ("cats",), ("dogs",), ("mouse",)]
