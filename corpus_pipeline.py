@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from termloom.llm.decontaminate import remove_contamination
 from termloom.llm.labelled import fold
 from termloom.llm.line_dedup import remove_boilerplate
-from termloom.llm.near_copies import keep_one_of_near_copies
 from termloom.llm.packing import pack_documents, with_sizes
 from termloom.llm.quality import fit_quality, score_quality
+from termloom.llm.simhash import keep_one_of_each
 from termloom.llm.staging import stage
 
 
@@ -39,11 +39,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies.
-
-    Five-word shingles of similarity 0.8 or more; the contract of 3 bits is that of the query.
-    """
-    return keep_one_of_near_copies(docs)
+    """Keeps the document with the smallest id of each group: fingerprints of three-word
+    shingles that differ in three bits at most, as ``op5_simhash``."""
+    return keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
