@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +16,11 @@ from pyspark.sql import types as T
 from termloom.llm.labelled import sample_labelled
 from termloom.llm.staging import byte_texts
 
-FEATURES = 4096
+#: Features by kind: shapes of words and of neighbouring words, words, and runs of 3 and of 5 bytes.
+KINDS = (2048, 6144, 4096, 4096)
+_STARTS = np.cumsum((0, *KINDS))
+FEATURES = int(_STARTS[-1])
+_RUNS = ((3, 2), (5, 3))
 #: The feature of words that repeat the word before.
 _REPEAT = 0
 _SHAPE = bytes(
@@ -26,78 +28,159 @@ _SHAPE = bytes(
     for c in range(256)
 )
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
-#: Words that a task remembers, at most.
-_REMEMBERED = 300_000
-#: Documents whose vectors are multiplied at a time.
+_BLANK = re.compile(rb"\s")
+#: Words that a task remembers, and bytes of a text that are looked at in one go.
+_REMEMBERED, _PIECE = 300_000, 1 << 20
+#: Documents whose vectors are multiplied at a time, always so many.
 _BLOCK = 256
+#: Cosines are rounded to so many digits, so that equal ones are ties.
+_DIGITS = 9
+#: How fast votes fall with the cosine, and the least cosine at which they may count half.
+_SHARPNESS, _LEAST = 32, 0.3
 
 
-def shape_feature(word: bytes) -> int:
-    """The feature of a word's shape: classes of letters and digits, other marks as they are."""
-    shape = _RUN.sub(rb"\1", word.translate(_SHAPE))
-    if len(shape) > 8:
-        shape = shape[:4] + shape[-4:]
-    return 1 + zlib.crc32(shape) % (FEATURES - 1)
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    codes = (codes ^ (codes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return codes ^ (codes >> np.uint64(32))
 
 
-class ShapeCounter:
-    """Counts features of texts and remembers the features of words."""
+def _bucket(codes: np.ndarray, kind: int) -> np.ndarray:
+    return (_mixed(codes) % np.uint64(KINDS[kind])).astype(np.int64) + _STARTS[kind]
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text cut at blanks into pieces of about ``_PIECE`` bytes, or longer unbroken ones."""
+    at = 0
+    while len(text) - at > _PIECE:
+        blank = _BLANK.search(text, at + _PIECE)
+        end = blank.start() if blank else len(text)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+class FeatureCounter:
+    """Counts the features of whole texts and remembers the hashes of words."""
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
+        self.hashes: list[tuple[int, int]] = []
 
-    def __call__(self, text: bytes) -> dict[int, int]:
-        words = text.split()
-        counts = Counter(words)
-        new = [w for w in counts if w not in self.known]
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        new = set(words) - self.known.keys()
         if len(self.known) + len(new) > _REMEMBERED:
-            self.known.clear()
-            new = list(counts)
-        self.known.update((w, shape_feature(w)) for w in new)
-        out: dict[int, int] = {}
-        for word, n in counts.items():
-            feature = self.known[word]
-            out[feature] = out.get(feature, 0) + n
-        repeats = sum(map(eq, words, words[1:]))
-        if repeats:
-            out[_REPEAT] = repeats
-        return out
+            self.known, self.hashes = {}, []
+            new = set(words)
+        for word in new:
+            self.known[word] = len(self.hashes)
+            self.hashes.append((zlib.crc32(_RUN.sub(rb"\1", word.translate(_SHAPE))), zlib.crc32(word.lower())))
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        names, places = np.unique(numbers, return_inverse=True)
+        return np.array([self.hashes[n] for n in names.tolist()], dtype=np.uint64).reshape(-1, 2)[places]
+
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The features of a text, ascending, and their counts."""
+        counts = np.zeros(FEATURES, dtype=np.int64)
+        before = np.zeros((0, 2), dtype=np.uint64)
+        for piece in _pieces(text):
+            if words := piece.split():
+                hashes = self._numbers(words)
+                shapes = np.concatenate([before[:, 0], hashes[:, 0]])
+                pairs = shapes[:-1] * np.uint64(0x9E3779B97F4A7C15) + shapes[1:]
+                same = np.concatenate([before[:, 1], hashes[:, 1]])
+                counts[_REPEAT] += int((same[1:] == same[:-1]).sum())
+                for codes, kind in ((hashes[:, 0], 0), (pairs, 0), (hashes[:, 1], 1)):
+                    counts += np.bincount(_bucket(codes, kind), minlength=FEATURES)
+                before = hashes[-1:]
+        lowered = np.frombuffer(text.lower(), np.uint8)
+        for size, kind in _RUNS:
+            for at in range(0, max(0, len(lowered) - size + 1), _PIECE):
+                part = lowered[at : at + _PIECE + size - 1].astype(np.uint64)
+                codes = np.zeros(len(part) - size + 1, dtype=np.uint64)
+                for i in range(size):
+                    codes = codes * np.uint64(0x100000001B3) + part[i : i + len(codes)]
+                counts += np.bincount(_bucket(codes, kind), minlength=FEATURES)
+        has = np.flatnonzero(counts)
+        return has, counts[has]
+
+
+def without_words(text: bytes) -> bytes:
+    """A text of the same outline whose letters are noise: its own in another order, or drawn evenly.
+
+    Capitals stay capitals. Which of the two, and the order, follow from the text alone.
+    """
+    codes = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), "<u4").copy()
+    letters = [c for c in np.unique(codes).tolist() if chr(c).isalpha()]
+    capitals = [c for c in letters if chr(c).isupper()]
+    small = sorted({ord(low) for c in letters if len(low := chr(c).lower()) == 1})
+    seed = zlib.crc32(text)
+    rng = np.random.default_rng(seed)
+    for group in (capitals, sorted(set(letters) - set(capitals))):
+        places = np.flatnonzero(np.isin(codes, group))
+        if not len(places):
+            continue
+        if seed % 2:
+            codes[places] = rng.permutation(codes[places])
+        else:
+            pool = [ord(up) for c in small if len(up := chr(c).upper()) == 1] if group is capitals else small
+            codes[places] = rng.choice(np.array(pool or group, dtype=np.uint32), len(places))
+    return codes.tobytes().decode("utf-32-le").encode()
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _dense(counts: list[dict[int, int]]) -> np.ndarray:
-    out = np.zeros((len(counts), FEATURES), dtype=np.float32)
-    for i, own in enumerate(counts):
-        out[i, list(own.keys())] = list(own.values())
+def _weighted(features: np.ndarray, counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Logarithmic counts times rarity; every kind of features has the same length."""
+    out = np.log1p(counts) * rarity[features]
+    ends = np.searchsorted(features, _STARTS)
+    for low, high in zip(ends, ends[1:]):
+        length = np.sqrt((out[low:high] ** 2).sum())
+        out[low:high] /= 2 * length if length else 1.0
     return out
 
 
 @dataclass(frozen=True)
 class NeighbourModel:
-    """Feature weights, the latent directions, and the labelled vectors in them."""
+    """Feature weights, the latent directions, and the labelled vectors in them.
+
+    ``familiar`` is the cosine at which a neighbour's vote weighs as much as the doubt.
+    """
 
     rarity: np.ndarray
     directions: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
     neighbours: int
+    familiar: float
+
+    def latent(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return (_weighted(features, counts, self.rarity)[:, None] * self.directions[features]).sum(axis=0)
 
-    def latent(self, counts: np.ndarray) -> np.ndarray:
-        return _unit(_unit(np.log1p(counts) * self.rarity) @ self.directions)
+    def scores(self, latent: np.ndarray) -> np.ndarray:
+        """Votes of the nearest labelled texts against a doubt that counts as label 0.
 
-    def scores(self, counts: np.ndarray) -> np.ndarray:
-        """Votes of the nearest labelled texts, weighted by the fourth power of the cosine."""
+        A vote weighs (cosine / ``familiar``) ** 32, the doubt as much as all neighbours do at
+        ``familiar``. Equal cosines go by the order of the labelled texts.
+        """
         if not len(self.labels):
-            return np.full(len(counts), 0.5)
-        cosines = self.latent(counts) @ self.vectors.T
-        k = min(self.neighbours, len(self.labels))
-        nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosines, nearest, axis=1).astype(np.float64), 0) ** 4 + 1e-9
-        # The weight sum can exceed the weighted votes by rounding only.
-        return np.clip((weight * self.labels[nearest]).sum(axis=1) / weight.sum(axis=1), 0, 1)
+            return np.full(len(latent), 0.5)
+        block = np.zeros((_BLOCK, latent.shape[1]))
+        out = []
+        for at in range(0, len(latent), _BLOCK):
+            rows = min(_BLOCK, len(latent) - at)
+            block[:rows] = _unit(latent[at : at + rows])
+            cosines = np.round(block @ self.vectors.T, _DIGITS)[:rows]
+            k = min(self.neighbours, len(self.labels))
+            floor = -np.partition(-cosines, k - 1, axis=1)[:, k - 1 : k]
+            row, label = np.nonzero(cosines >= floor)
+            order = np.lexsort((label, -cosines[row, label], row))
+            starts = np.searchsorted(row, np.arange(rows))
+            nearest = label[order][starts[:, None] + np.arange(k)]
+            weight = (np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0) / self.familiar) ** _SHARPNESS
+            out.append((weight * self.labels[nearest]).sum(axis=1) / (weight.sum(axis=1) + k))
+        return np.concatenate(out) if out else np.zeros(0)
 
 
 def feature_frequencies(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarray, int]:
@@ -107,10 +190,10 @@ def feature_frequencies(docs: DataFrame, *, text: str = "text") -> tuple[np.ndar
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, seen = ShapeCounter(), np.zeros(FEATURES + 1, dtype=np.int64)
+        count, seen = FeatureCounter(), np.zeros(FEATURES + 1, dtype=np.int64)
         for batch in batches:
             for content in byte_texts(batch.column(0)):
-                seen[list(count(content))] += 1
+                seen[count(content)[0]] += 1
                 seen[FEATURES] += 1  # documents
         has = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(has), pa.array(seen[has])], ["feature", "n"])
@@ -122,16 +205,42 @@ def feature_frequencies(docs: DataFrame, *, text: str = "text") -> tuple[np.ndar
     return out[:FEATURES], int(out[FEATURES])
 
 
-def _directions(rows: np.ndarray, rank: int, rounds: int = 6) -> np.ndarray:
+def _dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+    """Sparse rows as matrices of ``_BLOCK`` rows, one after another."""
+    for at in range(0, len(rows), _BLOCK):
+        part = rows[at : at + _BLOCK]
+        out = np.zeros((len(part), FEATURES), dtype=np.float32)
+        for own, (features, values) in zip(out, part, strict=True):
+            own[features] = values
+        yield at, out
+
+
+def _directions(rows: list[tuple[np.ndarray, np.ndarray]], rank: int, rounds: int = 6) -> np.ndarray:
     """The first ``rank`` right singular vectors as columns, by block power iteration.
 
-    Needs a few blocks of ``rank`` + 16 columns beside the rows, whatever their width.
+    Needs one block of dense rows and a few of ``rank`` + 16 columns beside the sparse rows.
     """
-    block = np.random.default_rng(0).normal(size=(rows.shape[1], rank + 16)).astype(np.float32)
+    block = np.random.default_rng(0).normal(size=(FEATURES, rank + 16)).astype(np.float32)
     for _ in range(rounds):
-        block, _ = np.linalg.qr(rows.T @ (rows @ block))
-    _, _, turned = np.linalg.svd(rows @ block, full_matrices=False)
-    return np.ascontiguousarray((block @ turned.T)[:, :rank], dtype=np.float32)
+        moved = np.zeros_like(block)
+        for _, part in _dense(rows):
+            moved += part.T @ (part @ block)
+        block, _ = np.linalg.qr(moved)
+    along = np.concatenate([part @ block for _, part in _dense(rows)]) if rows else np.zeros((1, block.shape[1]), dtype=np.float32)
+    _, _, turned = np.linalg.svd(along, full_matrices=False)
+    return np.ascontiguousarray((block @ turned.T)[:, :rank], dtype=np.float64)
+
+
+def _familiar(vectors: np.ndarray, labels: np.ndarray, share: float) -> float:
+    """The cosine with the nearest other labelled text that all but ``share`` of label 1 reach."""
+    ones = np.flatnonzero(labels == 1)
+    nearest = []
+    for at in range(0, len(ones), _BLOCK):
+        own = ones[at : at + _BLOCK]
+        cosines = vectors[own] @ vectors.T
+        cosines[np.arange(len(own)), own] = -1
+        nearest.append(cosines.max(axis=1))
+    return max(_LEAST, float(np.quantile(np.concatenate(nearest), share))) if len(ones) > 1 else _LEAST
 
 
 def fit_quality(
@@ -140,39 +249,55 @@ def fit_quality(
     *,
     learn: Column,
     label: str = "quality",
-    sample_rows: int = 4096,
+    sample_rows: int = 2048,
     rank: int = 32,
     neighbours: int = 5,
+    unlike: float = 0.002,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> NeighbourModel:
     """Latent-semantic vectors of at most ``sample_rows`` labelled texts, half of each label.
 
-    Features are shapes of words and immediate repetitions, weighted by logarithms of their
-    counts and by their rarity over all of ``docs``. The latent directions are the first
-    ``rank`` singular vectors of the sample. Counts are made in tasks; the driver gets rows of
-    at most ``FEATURES`` numbers.
+    Features are hashed words, runs of 3 and 5 bytes, shapes of words and of neighbouring words,
+    and immediate repetitions, of whole texts, weighted by logarithms of their counts and by
+    their rarity over all of ``docs``. The latent directions are the first ``rank`` singular
+    vectors of the sample. Every text of label 1 also gives a vector of label 0 with its letters
+    replaced by noise, so that text without words is known to be no good. ``unlike`` is the
+    share of label 1 that may be so unlike the others that the doubt outweighs their votes.
+
+    Counts are made in tasks; the driver gets rows of at most ``FEATURES`` numbers.
     """
     seen, total = feature_frequencies(docs, text=text)
-    rarity = np.log((total + 1) / (seen + 1)).astype(np.float32)
+    rarity = np.log((total + 1) / (seen + 1))
     sample, _ = sample_labelled(docs, labels, label=label, rows=sample_rows, learn=learn, doc_id=doc_id, text=text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = ShapeCounter()
+        count = FeatureCounter()
         for batch in batches:
-            made = [count(t) for t in byte_texts(batch.column(0))]
-            columns = [pa.array([list(f(own)) for own in made], pa.list_(pa.int64())) for f in (dict.keys, dict.values)]
-            yield pa.record_batch([*columns, batch.column(1)], ["features", "counts", "label"])
-
-    rows = sample.select(F.col("text").cast("binary"), "label").mapInArrow(run, "features array<bigint>, counts array<bigint>, label int")
-    found = sorted((r["label"], sorted(zip(r["features"], r["counts"], strict=True))) for r in rows.collect())
-    weighted = _dense([dict(own) for _, own in found])
-    np.log1p(weighted, out=weighted)
-    weighted *= rarity
-    weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+            made = []
+            for content, own in zip(byte_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                made.append((*count(content), own))
+                if own:
+                    made.append((*count(without_words(content)), 0))
+            columns = [
+                pa.array([f.astype("<u2").tobytes() for f, _, _ in made], pa.binary()),
+                pa.array([n.astype("<f4").tobytes() for _, n, _ in made], pa.binary()),
+                pa.array([own for *_, own in made], pa.int32()),
+            ]
+            yield pa.record_batch(columns, ["features", "counts", "label"])
+
+    rows = sample.select(F.col("text").cast("binary"), "label").mapInArrow(run, "features binary, counts binary, label int")
+    # Sorted, so that the model does not depend on the order in which tasks end.
+    found = sorted((r["label"], bytes(r["features"]), bytes(r["counts"])) for r in rows.collect())
+    weighted = []
+    for _, features, counts in found:
+        own = np.frombuffer(features, "<u2").astype(np.int64)
+        weighted.append((own, _weighted(own, np.frombuffer(counts, "<f4").astype(np.float64), rarity).astype(np.float32)))
     directions = _directions(weighted, rank)
-    values = np.array([value for value, _ in found], dtype=np.float64)
-    return NeighbourModel(rarity, directions, _unit(weighted @ directions), values, neighbours)
+    vectors = [(values[:, None] * directions[own]).sum(axis=0) for own, values in weighted]
+    latent = _unit(np.stack(vectors)) if vectors else np.zeros((0, directions.shape[1]))
+    values = np.array([value for value, *_ in found], dtype=np.float64)
+    return NeighbourModel(rarity, directions, latent, values, neighbours, _familiar(latent, values, unlike))
 
 
 def score_quality(
@@ -180,20 +305,23 @@ def score_quality(
 ) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all) with the ``column`` of scores, every row.
 
-    Cosines with all labelled vectors are exact, in blocks. Null and empty texts have no
-    features; their cosines are 0, so the votes are unweighted. A column of that name is replaced.
+    Cosines with all labelled vectors are exact, in blocks of one shape, so that a score does
+    not depend on what rows stand beside it. Null and empty texts have no features and score 0
+    (0.5 if nothing is labelled). A column of that name is replaced.
     """
     kept = [c for c in keep or docs.columns if c != column]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # sample_rows by rank numbers
-    rows = docs.select(*kept, F.col(text).cast("binary").alias("__text"))
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "__text"), T.StructField(column, T.DoubleType())])
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES and sample_rows by rank numbers
+    # Columns go by numbers meanwhile, whatever they are called.
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)), F.col(f"`{text}`").cast("binary").alias("text"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, count = shared.value, ShapeCounter()
+        model, count = shared.value, FeatureCounter()
         for batch in batches:
             for at in range(0, batch.num_rows, _BLOCK):
                 part = batch.slice(at, _BLOCK)
-                scores = model.scores(_dense([count(t) for t in byte_texts(part.columns[-1])]))
-                yield pa.record_batch([*part.columns[:-1], pa.array(scores)], names=[*kept, column])
+                latent = np.stack([model.latent(*count(t)) for t in byte_texts(part.columns[-1])])
+                yield pa.record_batch([*part.columns[:-1], pa.array(model.scores(latent))], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    scored = rows.mapInArrow(run, schema)
+    return scored.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), F.col("score").alias(column))

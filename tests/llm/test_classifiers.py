@@ -10,20 +10,74 @@ from termloom.llm.labelled import fold, sample_labelled
 from termloom.llm.queries import op9_toxicity, op10_quality
 
 SF_DIR = "/root/testdata/sf0.01"
+LARGE = "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize(
-    ("query", "label", "folds", "held", "least"), [(op9_toxicity, "toxic", 5, 0, 0.8), (op10_quality, "quality", 3, 1, 0.95)]
+    ("query", "folder", "label", "folds", "held", "recall", "alarms"),
+    # A third of the toxic labels of this table are on texts without any word that marks the others.
+    [(op9_toxicity, LARGE, "toxic", 5, 0, 0.5, 0.03), (op10_quality, SF_DIR, "quality", 3, 1, 0.97, 0.1)],
 )
-def test_held_out_accuracy(spark, query, label, folds, held, least):
-    rows = query(spark, SF_DIR).collect()
-    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+def test_held_out_recall_of_either_label(spark, query, folder, label, folds, held, recall, alarms):
+    """``recall`` of label 1 and ``alarms``, the share of label 0 that is taken for it."""
+    rows = query(spark, folder).collect()
+    assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
     for r in rows:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == held)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
-    labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
-    right = [labels[r["doc_id"]] == r["predicted"] for r in rows if r["held_out"] and r["doc_id"] in labels]
-    assert np.mean(right) >= least
+    labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = [(labels[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    print(f"{label}: {np.mean([p for v, p in found if v])} of 1, {np.mean([p for v, p in found if not v])} of 0")
+    assert np.mean([p for v, p in found if v]) >= recall
+    assert np.mean([p for v, p in found if not v]) <= alarms
+
+
+def test_noise_is_not_taken_for_prose(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = quality.fit_quality(docs, labels, learn=fold(F.col("doc_id"), 3) != 1)
+    good = docs.join(labels.where((fold(F.col("doc_id"), 3) == 1) & (F.col("quality") == 1)), "doc_id").orderBy("doc_id")
+    texts = [r["text"] for r in good.collect() if len(r["text"]) > 200]
+    rng = random.Random(10)
+    letter = lambda c: (c.isupper() and str.upper or str.lower)(rng.choice("abcdefghijklmnopqrstuvwxyz")) if c.isalpha() else c
+    noise = ["".join(map(letter, t)) for t in texts]
+    mixed = []
+    for t in texts:
+        words = t.split()
+        rng.shuffle(words)
+        mixed.append(" ".join(words))
+    rows = [(kind, n, t) for kind, own in (("own", texts), ("noise", noise), ("mixed", mixed)) for n, t in enumerate(own)]
+    frame = spark.createDataFrame(rows, "kind string, n int, text string").withColumns({"c0": F.lit(1), "__text": F.lit("x"), "score": F.lit(9)})
+    scores = {}
+    for partitions in (1, 7):
+        out = quality.score_quality(frame.repartition(partitions), model)
+        assert set(out.columns) == {"kind", "n", "text", "c0", "__text", "score"}
+        scores[partitions] = {(r["kind"], r["n"]): r["score"] for r in out.collect()}
+    assert scores[1] == scores[7] and len(scores[1]) == len(rows) > 150
+    by_kind = {k: np.array([scores[1][k, n] for n in range(len(texts))]) for k in ("own", "noise", "mixed")}
+    assert (by_kind["own"] >= 0.5).mean() >= 0.95 and (by_kind["noise"] >= 0.5).mean() <= 0.1
+    assert (by_kind["noise"] < by_kind["own"]).mean() > 0.95
+    assert by_kind["mixed"].mean() < by_kind["own"].mean() and (by_kind["mixed"] <= by_kind["own"]).mean() > 0.75
+
+
+def test_features_of_long_texts_are_those_of_the_whole():
+    rng = random.Random(11)
+    words = [rng.choice(["the", "The", "a.", "x" * rng.randrange(1, 9), "é" * 3]) for _ in range(600_000)]
+    text = " ".join(words).encode()
+    assert len(text) > 2 * quality._PIECE
+    features, counts = quality.FeatureCounter()(text)
+    assert counts.dtype.kind == "i" and (np.diff(features) > 0).all()
+    kinds = np.searchsorted(quality._STARTS, features, side="right") - 1
+    lowered = [w.lower() for w in words]
+    repeats = sum(a == b for a, b in zip(lowered, lowered[1:]))
+    assert counts[kinds == 0].sum() == repeats + len(words) + len(words) - 1 and counts[kinds == 1].sum() == len(words)
+    assert counts[kinds == 2].sum() == len(text) - 2 and counts[kinds == 3].sum() == len(text) - 4
+    whole = np.frombuffer(text.lower(), np.uint8).astype(np.uint64)
+    codes = (whole[:-2] * np.uint64(0x100000001B3) + whole[1:-1]) * np.uint64(0x100000001B3) + whole[2:]
+    want = np.bincount(quality._bucket(codes, 2), minlength=quality.FEATURES)
+    assert np.array_equal(want[features[kinds == 2]], counts[kinds == 2])
+    unbroken = quality.FeatureCounter()(b"x" * (2 * quality._PIECE + 5))
+    assert unbroken[1].sum() == 2 + 4 * quality._PIECE + 10 - 6
 
 
 ODD = [(1, None), (2, ""), (3, "  "), (4, "the the the " * 20_000), (None, "nothing of note"), (5, "x" * 100_000), (5, "again")]
@@ -109,13 +163,24 @@ def test_neighbour_votes_equal_brute_force():
     rng = np.random.default_rng(9)
     vectors = rng.normal(size=(50, 4))
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[25:] = vectors[:25]  # every cosine is a tie
     labels = rng.integers(0, 2, 50).astype(float)
-    rarity = np.ones(quality.FEATURES, dtype=np.float32)
-    directions = rng.normal(size=(quality.FEATURES, 4))
-    model = quality.NeighbourModel(rarity, directions, vectors, labels, 5)
-    counts = rng.poisson(0.01, (20, quality.FEATURES))
-    for row, score in zip(counts, model.scores(counts), strict=True):
-        v = (np.log1p(row) @ directions) / np.linalg.norm(np.log1p(row) @ directions)
-        best = sorted(range(50), key=lambda i: -(v @ vectors[i]))[:5]
-        weight = [max(v @ vectors[i], 0) ** 4 + 1e-9 for i in best]
-        assert abs(score - np.dot(weight, labels[best]) / sum(weight)) < 1e-6
+    rarity, directions = rng.random(quality.FEATURES), rng.normal(size=(quality.FEATURES, 4))
+    model = quality.NeighbourModel(rarity, directions, vectors, labels, 5, 0.6)
+    texts = [b" ".join(rng.choice([b"one", b"Two", b"three.", b"4"], 12)) for _ in range(300)] + [b"", b" "]
+    made = [quality.FeatureCounter()(t) for t in texts]
+    latent = np.stack([model.latent(*m) for m in made])
+    scores = model.scores(latent)
+    for (features, counts), row, score in zip(made, latent, scores, strict=True):
+        assert np.array_equal(model.scores(row[None]), [score])
+        v = np.zeros(4)
+        for low, high in zip(quality._STARTS, quality._STARTS[1:]):
+            own = (features >= low) & (features < high)
+            part = np.log1p(counts[own]) * rarity[features[own]]
+            v += part @ directions[features[own]] / (2 * np.linalg.norm(part) or 1)
+        assert np.allclose(v, row)
+        cosines = vectors @ (v / (np.linalg.norm(v) or 1))
+        best = sorted(range(50), key=lambda i: (-round(cosines[i], 6), i))[:5]
+        weight = [(max(cosines[i], 0) / 0.6) ** 32 for i in best]
+        assert abs(score - np.dot(weight, labels[best]) / (sum(weight) + 5)) < 1e-6
+    assert scores[-1] == scores[-2] == 0

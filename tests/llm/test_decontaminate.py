@@ -1,10 +1,11 @@
 import hashlib
+import pickle
 import random
 import re
 
 from pyspark.sql import functions as F
 
-from termloom.llm.decontaminate import find_contamination, remove_contamination
+from termloom.llm.decontaminate import Matcher, SuffixAutomaton, find_contamination, remove_contamination
 from termloom.llm.queries import op8_decontamination
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,8 +49,8 @@ def test_random_texts_of_few_words(spark):
     docs = [(i, text(rng.randrange(60)) + (" z " + text(15)) * 2) for i in range(40)]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    for window, most_bytes in ((5, 1 << 20), (5, 20), (10, 60)):
-        marked = find_contamination(frame, bench, window=window, most_bytes=most_bytes)
+    for window, most_states in ((5, 1 << 20), (5, 20), (10, 60)):
+        marked = find_contamination(frame, bench, window=window, most_states=most_states)
         for r in marked.collect():
             want = plain_marks(docs[r["doc_id"]][1], items, window)
             assert (r["n_words"], r["n_hit"], r["items"]) == want
@@ -62,7 +63,7 @@ def test_removing_spans_and_documents(spark):
         [(1, f"Keep this and that, é. {phrase.upper()}! And what follows, all of it; so it is more than half."),
          (2, phrase), (3, None), (4, "clean"), (5, "")],
         "doc_id bigint, text string",
-    ).withColumn("note", F.lit("x"))
+    ).withColumns({c: F.lit(7) for c in ("note", "n_words", "n_hit", "spans", "items", "__text", "__x", "cleaned", "c0", "a.b")})
     bench = spark.createDataFrame([(1, phrase)], "item_id bigint, text string")
     out = remove_contamination(docs, bench)
     assert out.columns == docs.columns
@@ -73,3 +74,44 @@ def test_removing_spans_and_documents(spark):
     assert remove_contamination(docs, bench, max_span=10, max_coverage=1.0).count() == 5
     assert remove_contamination(docs.limit(0), bench).count() == 0
     assert {r["n_hit"] for r in find_contamination(docs, bench.limit(0)).collect()} == {0}
+    assert out.where("n_words = 7 AND n_hit = 7 AND spans = 7 AND items = 7 AND __x = 7 AND cleaned = 7").count() == 4
+    kept = find_contamination(docs, bench, clean_text="note").where("doc_id = 4").first()
+    assert (kept["n_words"], kept["note"], kept["__x"], kept["a.b"]) == (1, "clean", 7, 7)
+
+
+def test_random_automata_equal_brute_force():
+    rng = random.Random(12)
+    for _ in range(60):
+        window = rng.choice([2, 3, 5])
+        items = [(i, [bytes([97 + rng.randrange(3)]) for _ in range(rng.randrange(0, 12))]) for i in range(8)]
+        matcher = Matcher(pickle.loads(pickle.dumps(Matcher.pack(SuffixAutomaton(items), window))))
+        for _ in range(10):
+            words = [bytes([97 + rng.randrange(4)]) for _ in range(rng.randrange(40))]
+            text, named = b" ".join(words).decode(), [(i, b" ".join(w).decode()) for i, w in items]
+            spans, found = matcher.match(words)
+            assert (sum(e - s for s, e in spans), sorted(found)) == plain_marks(text, named, window)[1:]
+
+
+def test_a_benchmark_of_many_parts(spark):
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=60))) for i in range(12_000)]
+    docs = []
+    for i in range(60):
+        words = rng.choices(vocabulary, k=80)
+        if i % 2:
+            own = items[rng.randrange(len(items))][1].split()
+            at = rng.randrange(45)
+            words[20:20] = own[at : at + 14]
+        docs.append((i, " ".join(words)))
+    frame, bench = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    windows = {}
+    for item, text in items:
+        own = text.split()
+        for i in range(51):
+            windows.setdefault(tuple(own[i : i + 10]), set()).add(str(item))
+    for r in find_contamination(frame, bench, most_states=1 << 20).collect():
+        words = docs[r["doc_id"]][1].split()
+        at = [i for i in range(len(words) - 9) if tuple(words[i : i + 10]) in windows]
+        assert r["n_hit"] == len({i + k for i in at for k in range(10)}) and (r["n_hit"] >= 14) == (r["doc_id"] % 2 == 1)
+        assert r["items"] == sorted(set().union(*(windows[tuple(words[i : i + 10])] for i in at)))
