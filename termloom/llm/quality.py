@@ -64,23 +64,27 @@ class FeatureCounter:
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
-        self.hashes: list[tuple[int, int]] = []
+        self.hashes = np.zeros((_REMEMBERED, 2), dtype=np.uint64)
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        new = set(words) - self.known.keys()
-        if len(self.known) + len(new) > _REMEMBERED:
-            self.known, self.hashes = {}, []
-            new = set(words)
-        for word in new:
-            self.known[word] = len(self.hashes)
-            self.hashes.append((zlib.crc32(_RUN.sub(rb"\1", word.translate(_SHAPE))), zlib.crc32(word.lower())))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        names, places = np.unique(numbers, return_inverse=True)
-        return np.array([self.hashes[n] for n in names.tolist()], dtype=np.uint64).reshape(-1, 2)[places]
+        """Hashes of the shape of each word and of the word in lower case."""
+        known = self.known
+        new = [w for w in set(words) if w not in known]
+        if len(known) + len(new) > len(self.hashes):
+            known.clear()
+            new = list(set(words))
+            if len(new) > len(self.hashes):
+                self.hashes = np.zeros((len(new), 2), dtype=np.uint64)
+        if new:
+            shapes = [zlib.crc32(_RUN.sub(rb"\1", w.translate(_SHAPE))) for w in new]
+            self.hashes[len(known) : len(known) + len(new)] = np.array([shapes, [zlib.crc32(w.lower()) for w in new]], dtype=np.uint64).T
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+        return self.hashes[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The features of a text, ascending, and their counts."""
         counts = np.zeros(FEATURES, dtype=np.int64)
+        buckets: list[np.ndarray] = []
         before = np.zeros((0, 2), dtype=np.uint64)
         for piece in _pieces(text):
             if words := piece.split():
@@ -89,8 +93,10 @@ class FeatureCounter:
                 pairs = shapes[:-1] * np.uint64(0x9E3779B97F4A7C15) + shapes[1:]
                 same = np.concatenate([before[:, 1], hashes[:, 1]])
                 counts[_REPEAT] += int((same[1:] == same[:-1]).sum())
-                for codes, kind in ((hashes[:, 0], 0), (pairs, 0), (hashes[:, 1], 1)):
-                    counts += np.bincount(_bucket(codes, kind), minlength=FEATURES)
+                buckets += [_bucket(codes, kind) for codes, kind in ((hashes[:, 0], 0), (pairs, 0), (hashes[:, 1], 1))]
+                if len(text) > _PIECE:
+                    counts += np.bincount(np.concatenate(buckets), minlength=FEATURES)
+                    buckets = []
                 before = hashes[-1:]
         lowered = np.frombuffer(text.lower(), np.uint8)
         for size, kind in _RUNS:
@@ -99,7 +105,11 @@ class FeatureCounter:
                 codes = np.zeros(len(part) - size + 1, dtype=np.uint64)
                 for i in range(size):
                     codes = codes * np.uint64(0x100000001B3) + part[i : i + len(codes)]
-                counts += np.bincount(_bucket(codes, kind), minlength=FEATURES)
+                buckets.append(_bucket(codes, kind))
+                if len(text) > _PIECE:
+                    counts += np.bincount(buckets.pop(), minlength=FEATURES)
+        if buckets:
+            counts += np.bincount(np.concatenate(buckets), minlength=FEATURES)
         has = np.flatnonzero(counts)
         return has, counts[has]
 
