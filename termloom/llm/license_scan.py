@@ -72,12 +72,52 @@ TEMPLATES = [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
         ["mozilla public license"],
     ),
-    ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License", ["creative commons attribution"]),
-    ("cc-by-nc", "licensed under CC BY-NC 4.0", ["cc by nc"]),
-    ("cc-by-sa", "licensed under CC BY-SA 4.0", ["cc by sa"]),
     ("unlicense", "This is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
+    ("epl", "made available under the terms of the Eclipse Public License 2.0", ["eclipse public license"]),
+    ("apache", "Licensed under the Apache-2.0 license", ["apache 2 0"]),
+    ("apache", "SPDX-License-Identifier: Apache-2.0", ["spdx license identifier apache 2 0"]),
+    ("mit", "SPDX-License-Identifier: MIT", ["spdx license identifier mit"]),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause", ["spdx license identifier bsd"]),
+    ("isc", "SPDX-License-Identifier: ISC", ["spdx license identifier isc"]),
+    ("mpl", "SPDX-License-Identifier: MPL-2.0", ["spdx license identifier mpl 2 0"]),
+    ("epl", "SPDX-License-Identifier: EPL-2.0", ["spdx license identifier epl 2 0"]),
+    ("gpl", "SPDX-License-Identifier: GPL-3.0-or-later", ["spdx license identifier gpl"]),
+    ("lgpl", "SPDX-License-Identifier: LGPL-3.0-or-later", ["spdx license identifier lgpl"]),
+    ("agpl", "SPDX-License-Identifier: AGPL-3.0-or-later", ["spdx license identifier agpl"]),
+    ("unlicense", "SPDX-License-Identifier: Unlicense", ["spdx license identifier unlicense"]),
+    ("gpl", "licensed under the GNU GPL v3", ["gnu gpl"]),
+    ("lgpl", "licensed under the GNU LGPL v3", ["gnu lgpl"]),
+    ("agpl", "licensed under the GNU AGPL v3", ["gnu agpl"]),
 ]
 
+# The six licences of one family, by what follows "Creative Commons" and "CC".
+CREATIVE_COMMONS = {
+    "cc-by": ("Attribution", "BY"),
+    "cc-by-sa": ("Attribution-ShareAlike", "BY-SA"),
+    "cc-by-nd": ("Attribution-NoDerivatives", "BY-ND"),
+    "cc-by-nc": ("Attribution-NonCommercial", "BY-NC"),
+    "cc-by-nc-sa": ("Attribution-NonCommercial-ShareAlike", "BY-NC-SA"),
+    "cc-by-nc-nd": ("Attribution-NonCommercial-NoDerivatives", "BY-NC-ND"),
+}
+# Other ways to write a word of these names, and words that make another licence of a name.
+SPELLINGS = {"NonCommercial": "Non-Commercial", "ShareAlike": "Share Alike", "NoDerivatives": "NoDerivs"}
+QUALIFIERS = {
+    "cc-": ["noncommercial", "non", "sharealike", "share", "noderivatives", "noderivs", "no", "nc", "sa", "nd"],
+    "mit": ["0"],
+}
+for _label, (_name, _short) in CREATIVE_COMMONS.items():
+    _other = _name
+    for _word, _spelling in SPELLINGS.items():
+        _other = _other.replace(_word, _spelling)
+    for _written in dict.fromkeys((_name, _other)):
+        _phrase = "creative commons " + _written.lower().replace("-", " ")
+        TEMPLATES.append((_label, f"licensed under a Creative Commons {_written} 4.0 International License", [_phrase]))
+    # The two letters alone are no licence: "under" or a version must stand beside them.
+    _phrase = "cc " + _short.lower().replace("-", " ")
+    TEMPLATES.append((_label, f"licensed under CC {_short}", [f"under {_phrase}"]))
+    for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        TEMPLATES.append((_label, f"CC {_short} {_version}", [f"{_phrase} {_version.replace('.', ' ')}"]))
+
 
 @dataclass
 class Template:
@@ -88,6 +128,8 @@ class Template:
     phrases: list[tuple[int, np.ndarray]]
     #: Rare words of the passage: id to places in it.
     anchors: dict[int, list[int]] = field(default_factory=dict)
+    #: Words that must not follow the last phrase, as they make it the name of another licence.
+    qualifiers: frozenset[int] = frozenset()
 
 
 class LicenseIndex:
@@ -97,7 +139,8 @@ class LicenseIndex:
         texts = [*((label, phrase, [phrase]) for phrase, label in BASE_PHRASES.items()), *TEMPLATES]
         self.slack = slack
         self.vocabulary: dict[bytes, int] = {}
-        for _, passage, _ in texts:
+        qualifying = [" ".join(words) for words in QUALIFIERS.values()]
+        for passage in [*(passage for _, passage, _ in texts), *qualifying]:
             for word in words_of(passage.encode()):
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
         idf = {
@@ -114,7 +157,9 @@ class LicenseIndex:
                 found.append((offset, own))
             rare = sorted(set(ids.tolist()), key=lambda n: (-idf[n][0], idf[n][1]))[: 1 if at < self.base else anchors]
             postings = {n: np.flatnonzero(ids == n).tolist() for n in rare}
-            self.templates.append(Template(label, ids, found, postings))
+            others = [w for start, words in QUALIFIERS.items() if at >= self.base and label.startswith(start) for w in words]
+            not_after = frozenset(self.vocabulary[w.encode()] for w in others)
+            self.templates.append(Template(label, ids, found, postings, not_after))
         rare_ids = {n for t in self.templates for n in t.anchors}
         self.rare = frozenset(w for w, n in self.vocabulary.items() if n in rare_ids)
 
@@ -134,11 +179,12 @@ class LicenseIndex:
         by_word = dict.fromkeys(ids[at].tolist())
         for number in by_word:
             by_word[number] = at[ids[at] == number]
+        names: list[tuple[int, int, Template, int]] = []
         for n, template in enumerate(self.templates):
             starts = self._alignments(template, by_word, exact=n < self.base)
             if not len(starts):
                 continue
-            right = self._verified(template, starts, ids, by_word, 0 if n < self.base else self.slack)
+            right, ends = self._verified(template, starts, ids, by_word, 0 if n < self.base else self.slack)
             if n < self.base:
                 if right.any():
                     base.add(template.label)
@@ -146,10 +192,14 @@ class LicenseIndex:
                     places += starts[right].tolist()
                     best = 1.0
                 continue
-            if right.any():
-                labels.add(template.label)
-            for start in starts[right].tolist():
-                best = max(best, self._share(template, start, ids))
+            size = len(template.phrases[-1][1])
+            names += [(end - size, end, template, start) for start, end in zip(starts[right].tolist(), ends[right].tolist(), strict=True)]
+        # Of key phrases that lie in one another the longest tells the licence.
+        for low, high, template, start in names:
+            if any(a <= low and high <= b and b - a > high - low and other.label != template.label for a, b, other, _ in names):
+                continue
+            labels.add(template.label)
+            best = max(best, self._share(template, start, ids))
         return places, base, labels, best
 
     def _alignments(self, template: Template, by_word: dict, exact: bool) -> np.ndarray:
@@ -169,9 +219,10 @@ class LicenseIndex:
         agreed = [i for i in np.flatnonzero(high - low >= need) if len(set(word[low[i] : high[i]].tolist())) >= need]
         return np.unique(starts[agreed])
 
-    def _verified(self, template: Template, starts: np.ndarray, ids: np.ndarray, by_word: dict, slack: int) -> np.ndarray:
-        """Which starts have every mandatory phrase at its place, give or take ``slack`` words."""
-        right = np.ones(len(starts), dtype=bool)
+    def _verified(self, template: Template, starts: np.ndarray, ids: np.ndarray, by_word: dict, slack: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which starts have every mandatory phrase at its place, give or take ``slack`` words,
+        and where the last phrase ends."""
+        right, ends = np.ones(len(starts), dtype=bool), np.zeros(len(starts), dtype=np.int64)
         for offset, phrase in template.phrases:
             rarest = min(range(len(phrase)), key=lambda i: len(by_word.get(int(phrase[i]), ())))
             first = by_word.get(int(phrase[rarest]), np.zeros(0, dtype=np.int64)) - rarest
@@ -179,10 +230,17 @@ class LicenseIndex:
             whole = np.ones(len(first), dtype=bool)
             for i, number in enumerate(phrase):
                 whole &= ids[first + i] == number
+            if template.qualifiers:
+                after = np.minimum(first + len(phrase), len(ids) - 1)
+                qualified = np.isin(ids[after], list(template.qualifiers)) & (first + len(phrase) < len(ids))
+                whole &= ~qualified
             first = first[whole]
             low = np.searchsorted(first, starts + offset - slack, side="left")
-            right &= np.searchsorted(first, starts + offset + slack, side="right") > low
-        return right
+            found = np.searchsorted(first, starts + offset + slack, side="right") > low
+            if found.any():
+                ends[found] = first[low[found]] + len(phrase)
+            right &= found
+        return right, ends
 
     def _share(self, template: Template, start: int, ids: np.ndarray) -> float:
         """The part of the template's words that stand near their places."""
@@ -221,7 +279,8 @@ def scan_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     A document's words that are among the rarest of a template (by their document frequency in
     all of ``docs``) are looked up in the index; places of different words of a template that
     agree on where it starts make a candidate, and a candidate counts if the template's key
-    phrases stand where they must. Base phrases are templates of their own with one rare word
+    phrases stand where they must, are not continued by a word that makes another licence of
+    them, and do not lie in a longer key phrase of another licence. Base phrases are templates of their own with one rare word
     and no slack, so every place of them is found. ``base_places`` are the words they start at,
     from 0; ``score`` is 1 with a base phrase, else the largest part of a template matched.
     Null and empty texts have no words and score 0. The index is a few hundred words.

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -61,3 +62,37 @@ def test_key_phrases_are_in_their_passages(label):
     for own, passage, phrases in TEMPLATES:
         text = " ".join(WORD.findall(passage.lower()))
         assert own != label or all(f" {p} " in f" {text} " for p in phrases)
+
+
+NAMED = {
+    "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International": "cc-by-nc-sa",
+    "under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": "cc-by-nc-nd",
+    "Creative Commons Attribution-NoDerivatives 4.0 International": "cc-by-nd",
+    "Creative Commons Attribution-NoDerivs 4.0": "cc-by-nd",
+    "Creative Commons Attribution Non-Commercial Share Alike 4.0": "cc-by-nc-sa",
+    "Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+    "Creative Commons Attribution-ShareAlike 4.0": "cc-by-sa",
+    "licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+    "CC BY-NC-ND 4.0": "cc-by-nc-nd", "CC BY-NC-SA 4.0": "cc-by-nc-sa", "CC BY-ND 4.0": "cc-by-nd", "CC BY-NC 4.0": "cc-by-nc",
+    "CC BY-SA 4.0": "cc-by-sa", "licensed under CC BY 4.0": "cc-by", "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+    "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: MIT-0": "", "SPDX-License-Identifier: CC-BY-NC-4.0": "cc-by-nc",
+    "SPDX-License-Identifier: Apache-2.0": "apache", "SPDX-License-Identifier: LGPL-2.1-only": "lgpl",
+    "Licensed under the Apache-2.0 license": "apache", "GNU GPL v3": "gpl", "GNU LGPL v3": "lgpl", "Eclipse Public License 2.0": "epl",
+    "a cc by mail of a non commercial kind": "", "creative commons": "", "attribution 4.0 international": "",
+}
+
+
+def test_licences_that_exclude_each_other(spark):
+    rng = random.Random(14)
+    words = ["of", "the", "tion", "text", "license", "open"]
+    rows = [(i, f"{' '.join(rng.choices(words[:3], k=n))}. {name}; {' '.join(rng.choices(words[:3], k=9))}") for n in (0, 7) for i, name in enumerate(NAMED)]
+    rows += [(i, name) for i, name in enumerate(NAMED)]
+    want = list(NAMED.values())
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    for r in scan_licenses(docs).collect():
+        assert (r["doc_id"], ",".join(r["labels"])) == (r["doc_id"], want[r["doc_id"]])
+    # No two of these licences are taken for one another, whatever surrounds their passages.
+    passages = [(label, passage) for label, passage, _ in TEMPLATES if label.startswith("cc-")]
+    mixed = [(i, f"{' '.join(rng.choices(words, k=12))} | {passage} | {' '.join(rng.choices(words, k=12))}") for i, (_, passage) in enumerate(passages)]
+    for r in scan_licenses(spark.createDataFrame(mixed, "doc_id int, text string")).collect():
+        assert r["labels"] == [passages[r["doc_id"]][0]]
