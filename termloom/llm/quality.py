@@ -262,7 +262,7 @@ def fit_quality(
     sample_rows: int = 2048,
     rank: int = 32,
     neighbours: int = 5,
-    unlike: float = 0.002,
+    unlike: float = 0.0005,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> NeighbourModel:
