@@ -9,7 +9,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterator, Sequence
-from itertools import compress
+from itertools import compress, pairwise
 from operator import not_
 
 import numpy as np
@@ -20,34 +20,37 @@ from pyspark.sql.window import Window
 
 from termloom.llm.staging import stage
 
-MAGIC = b"TIDS0001"
+MAGIC = b"TIDS0002"
 #: Magic, width of an id in bytes, documents, null document ids, smallest id, ids, shard,
 #: frame of the shard, bytes of the two boundary structures; big endian.
 _HEADER = struct.Struct(">8sIQQqQQQQQ")
 #: Places of ids, shard and frame in it, counted from 1.
 _TOTAL, _SHARD, _NUMBER = 37, 45, 53
-_SAMPLE = 256
+#: Bytes of the bit vector that a block and a superblock of the directory count.
+_BLOCK, _SUPERBLOCK = 32, 512
+_HEAD = struct.Struct("<QIQQ")
+#: Place of the r-th one in a byte, for each byte and r.
+_ONES = np.array([[([b for b in range(8) if byte >> b & 1] + [0] * 8)[r] for r in range(8)] for byte in range(256)], dtype=np.uint8)
 
 
 class EliasFano:
     """A non-decreasing sequence of n numbers below u in about n (2 + log2(u / n)) bits.
 
     The low bits stand in a packed array; the high bits are unary in a bit vector. ``select``
-    finds the i-th number from a sampled directory of the bit vector's ones.
+    finds the i-th number through a stored directory of the bit vector's ones: their number
+    before each 512 bytes in 32 bits, and before each 32 bytes of these in 16 bits.
     """
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, supers: np.ndarray, blocks: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        counts = np.bitwise_count(high).astype(np.int64)
-        self._before = np.concatenate(([0], np.cumsum(counts)))
-        # The byte that holds every _SAMPLE-th one.
-        ones = np.arange(0, max(n, 1), _SAMPLE)
-        self._samples = np.searchsorted(self._before, ones, side="right") - 1
+        self.supers, self.blocks = supers, blocks
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, dtype=np.int64)
         n = len(values)
+        if n >= 2**32:
+            raise ValueError("a sequence holds fewer than 2**32 numbers")
         top = int(values[-1]) + 1 if n else 1
         low_bits = max(0, (top // max(n, 1)).bit_length() - 1)
         bits = (values[:, None] >> np.arange(low_bits)) & 1
@@ -55,40 +58,58 @@ class EliasFano:
         places = (values >> low_bits) + np.arange(n)
         unary = np.zeros(int(places[-1]) + 1 if n else 0, dtype=np.uint8)
         unary[places] = 1
-        return cls(n, low_bits, low, np.packbits(unary, bitorder="little"))
+        high = np.packbits(unary, bitorder="little")
+        counts = np.add.reduceat(np.bitwise_count(high), np.arange(0, len(high), _BLOCK), dtype=np.int64)
+        before = np.cumsum(counts) - counts
+        supers = before[:: _SUPERBLOCK // _BLOCK]
+        within = before - np.repeat(supers, _SUPERBLOCK // _BLOCK)[: len(before)]
+        return cls(n, low_bits, low, high, supers.astype("<u4"), within.astype("<u2"))
 
     def to_bytes(self) -> bytes:
-        head = struct.pack("<QIQ", self.n, self.low_bits, len(self.low))
-        return head + self.low.tobytes() + self.high.tobytes()
+        head = _HEAD.pack(self.n, self.low_bits, len(self.low), len(self.high))
+        return b"".join([head, *(x.tobytes() for x in (self.low, self.high, self.supers, self.blocks))])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> EliasFano:
-        n, low_bits, size = struct.unpack_from("<QIQ", data)
-        low = np.frombuffer(data, np.uint8, size, 20)
-        return cls(n, low_bits, low, np.frombuffer(data, np.uint8, offset=20 + size))
+        n, low_bits, low_bytes, high_bytes = _HEAD.unpack_from(data)
+        kinds = (np.uint8, low_bytes), (np.uint8, high_bytes), ("<u4", -(-high_bytes // _SUPERBLOCK)), ("<u2", -(-high_bytes // _BLOCK))
+        parts, at = [], _HEAD.size
+        for kind, size in kinds:
+            parts.append(np.frombuffer(data, kind, size, at))
+            at += parts[-1].nbytes
+        return cls(n, low_bits, *parts)
 
     def select(self, i: int) -> int:
         """The i-th number, from 0."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        start = int(self._samples[i // _SAMPLE])
-        following = i // _SAMPLE + 1
-        end = int(self._samples[following]) + 2 if following < len(self._samples) else len(self._before)
-        byte = start + int(np.searchsorted(self._before[start:end], i, side="right")) - 1
-        ones = np.flatnonzero(np.unpackbits(self.high[byte : byte + 1], bitorder="little"))
-        place = byte * 8 + int(ones[i - int(self._before[byte])])
-        low = 0
+        return int(self.select_many(np.array([i]))[0])
+
+    def select_many(self, i: np.ndarray) -> np.ndarray:
+        """The numbers at the places ``i``; memory grows with their number, not with n."""
+        i = np.asarray(i, dtype=np.int64)
+        if len(i) and not (0 <= i.min() and i.max() < self.n):
+            raise IndexError("no such number")
+        if not len(i):
+            return i
+        # The last superblock, block and byte with no more ones before than asked for.
+        over = np.searchsorted(self.supers, i, side="right") - 1
+        rest = i - self.supers[over]
+        own = (over * (_SUPERBLOCK // _BLOCK))[:, None] + np.arange(_SUPERBLOCK // _BLOCK)
+        there = own < len(self.blocks)
+        before = np.where(there, self.blocks[np.where(there, own, 0)], 0xFFFF)
+        block = (before <= rest[:, None]).sum(axis=1) - 1
+        rest -= before[np.arange(len(i)), block]
+        at = (over * _SUPERBLOCK + block * _BLOCK)[:, None] + np.arange(_BLOCK)
+        counts = np.bitwise_count(self.high[np.minimum(at, len(self.high) - 1)]).astype(np.int64)
+        before = np.cumsum(counts, axis=1) - counts
+        byte = (before <= rest[:, None]).sum(axis=1) - 1
+        rest -= before[np.arange(len(i)), byte]
+        byte += at[:, 0]
+        places = byte * 8 + _ONES[self.high[byte], rest]
+        low = np.zeros(len(i), dtype=np.int64)
         for b in range(self.low_bits):
-            at = i * self.low_bits + b
-            low |= int(self.low[at >> 3] >> (at & 7) & 1) << b
-        return (place - i) << self.low_bits | low
-
-    def decode(self) -> np.ndarray:
-        """All numbers at once."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits]
-        low = bits.reshape(self.n, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
-        return (places - np.arange(self.n)) << self.low_bits | low
+            bit = i * self.low_bits + b
+            low |= (self.low[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(np.int64) << b
+        return (places - i) << self.low_bits | low
 
 
 def pack_frame(doc_ids: list[int | None], ids: list[bytes], width: int, shard: int, number: int) -> bytes:
@@ -109,7 +130,7 @@ def pack_frame(doc_ids: list[int | None], ids: list[bytes], width: int, shard: i
 
 
 class Frame:
-    """A frame read back; ``document(i)`` and ``offset(i)`` need no decoding of the rest."""
+    """A frame read back; its methods decode no more than the documents asked for."""
 
     def __init__(self, data: bytes):
         magic, self.width, self.n, self.nulls, self.least, self.total, self.shard, self.number, a, b = _HEADER.unpack_from(data)
@@ -121,15 +142,19 @@ class Frame:
         kind = {2: "<u2", 4: "<u4"}[self.width]
         self.ids = np.frombuffer(data, kind, self.total, _HEADER.size + a + b)
 
-    def offset(self, i: int) -> int:
-        """The place of the first id of document i in the frame's array."""
-        return self.bounds.select(i - 1) if i else 0
+    def offsets(self, low: int, high: int) -> np.ndarray:
+        """The places of the first ids of documents ``low`` to ``high - 1``, and where the last ends."""
+        ends = self.bounds.select_many(np.arange(max(low - 1, 0), high))
+        return ends if low else np.concatenate(([0], ends))
 
     def document(self, i: int) -> np.ndarray:
-        return self.ids[self.offset(i) : self.bounds.select(i)]
+        start, end = self.offsets(i, i + 1)
+        return self.ids[start:end]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + (self.names.decode() + self.least).tolist()
+    def doc_ids(self, low: int, high: int) -> list[int | None]:
+        known = np.arange(max(low - self.nulls, 0), max(high - self.nulls, 0))
+        # In Python's numbers: least may be so small that a difference overflows.
+        return [None] * (high - low - len(known)) + [x + self.least for x in self.names.select_many(known).tolist()]
 
 
 #: White space other than blanks and line feeds, and the runs that are not cut into single ones.
@@ -343,7 +368,7 @@ def write_token_files(
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32, ids, shard, frame, place)`` of all documents.
 
-    ``start`` counts the ids of all documents before; ``ids`` are the document's bytes, little
+    ``start`` counts the ids of all documents before, by ``select`` on the frame's boundaries; ``ids`` are the document's bytes, little
     endian in the width of the file; ``ids_crc32`` is over 32-bit ids. Frames are read whole, one
     a row. Sums over frames are taken within each shard and then over shards.
     """
@@ -363,16 +388,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0).to_pylist():
                 frame = Frame(content)
-                ends = frame.bounds.decode()
-                starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-                keys = frame.doc_ids()
                 for low in range(0, frame.n, 4096):
                     part = range(low, min(low + 4096, frame.n))
-                    own = [frame.ids[starts[i] : ends[i]] for i in part]
+                    offsets = frame.offsets(part.start, part.stop)
+                    own = [frame.ids[a:b] for a, b in pairwise(offsets.tolist())]
                     yield pa.record_batch(
                         [
-                            pa.array([keys[i] for i in part], pa.int64()),
-                            pa.array(starts[low : low + 4096]),
+                            pa.array(frame.doc_ids(part.start, part.stop), pa.int64()),
+                            pa.array(offsets[:-1]),
                             pa.array([len(x) for x in own], pa.int64()),
                             pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64()),
                             pa.array([x.tobytes() for x in own], pa.binary()),

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from termloom.llm.queries import op4_token_files
-from termloom.llm.token_files import EliasFano, read_token_files, write_token_files
+from termloom.llm.token_files import EliasFano, Frame, pack_frame, read_token_files, write_token_files
 from termloom.sinks import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -67,7 +67,33 @@ def test_elias_fano():
     rng = random.Random(2)
     for values in ([], [0], [5], [0, 0, 0], list(range(1000)), sorted(rng.randrange(1 << 40) for _ in range(700)), [7] * 600 + [1 << 50]):
         packed = EliasFano.from_bytes(EliasFano.encode(np.array(values, dtype=np.int64)).to_bytes())
-        assert packed.decode().tolist() == values
+        assert packed.select_many(np.arange(len(values))).tolist() == values
         assert [packed.select(i) for i in range(len(values))] == values
+        with pytest.raises(IndexError):
+            packed.select(len(values))
     dense = EliasFano.encode(np.cumsum(np.full(10_000, 1400)))
     assert len(dense.to_bytes()) * 8 / 10_000 < 2 + np.log2(1400) + 0.5
+
+
+def test_directory_is_small_and_stored():
+    rng = np.random.default_rng(3)
+    for lengths in (rng.integers(0, 3, 300_000), rng.integers(1, 3000, 300_000), rng.pareto(0.7, 300_000).astype(np.int64) % 100_000):
+        ends = np.cumsum(lengths)
+        data = EliasFano.encode(ends).to_bytes()
+        packed = EliasFano.from_bytes(data)
+        assert packed.supers.nbytes + packed.blocks.nbytes <= 0.1 * len(data)
+        assert packed.supers.dtype.itemsize == 4 and packed.blocks.dtype.itemsize == 2
+        # Nothing else is held: the arrays are views of the stored bytes.
+        assert sum(x.nbytes for x in vars(packed).values() if isinstance(x, np.ndarray)) < len(data)
+        asked = rng.integers(0, len(ends), 5000)
+        assert (packed.select_many(asked) == ends[asked]).all()
+
+
+def test_frames_give_any_documents():
+    own = [(i - 3, np.arange(i % 5, dtype="<u2").tobytes()) for i in range(9000)]
+    keys = [None, None] + [key for key, _ in own]
+    ids = [b"\x07\x00", b""] + [x for _, x in own]
+    frame = Frame(pack_frame(keys, ids, 2, 4, 5) + b"\n")
+    for low, high in ((0, 1), (0, 3), (1, 2), (2, 2), (5000, 9002)):
+        assert frame.doc_ids(low, high) == keys[low:high]
+        assert [frame.document(i).tobytes() for i in range(low, min(high, low + 9))] == ids[low : min(high, low + 9)]
