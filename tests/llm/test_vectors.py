@@ -4,7 +4,7 @@ import random
 import numpy as np
 
 from termloom.llm.queries import op7_vector_duplicates
-from termloom.llm.vectors import linked_pairs, vector_duplicates
+from termloom.llm.vectors import _PARTNERS, linked_pairs, possible_pairs, quantise, vector_duplicates
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -71,3 +71,22 @@ def test_bounds_lose_no_pair_near_the_threshold():
         cosines = left @ right.T
         clear = np.abs(cosines - 0.9) > 1e-12
         assert ((cosines >= 0.9) == got)[clear].all() and got.any()
+        possible = np.concatenate([p for _, p in possible_pairs(quantise(left), quantise(right), 0.9)])
+        assert possible[got].all() and possible.sum() < 1.5 * got.sum() + 50
+
+
+def test_scales_and_losses_are_bounds():
+    rng = np.random.default_rng(8)
+    unit = rng.standard_t(2, size=(500, 40))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    codes, scale, lost = quantise(unit)
+    assert scale.dtype == lost.dtype == np.float32 and codes.dtype == np.int8
+    assert (np.linalg.norm(unit - codes * scale[:, None].astype(float), axis=1) <= lost.astype(float)).all()
+
+
+def test_every_pair_of_tiles_is_named_once(spark):
+    for tiles in (1, 2, 3, 8, 13):
+        named = spark.range(tiles).selectExpr("id AS tile", f"{tiles}L AS tiles").selectExpr("tile", f"explode({_PARTNERS}) AS other")
+        pairs = [tuple(sorted(r)) for r in named.collect()]
+        assert sorted(pairs) == [(a, b) for a in range(tiles) for b in range(a, tiles)]
+        assert max(r["count"] for r in named.groupBy("tile").count().collect()) <= tiles // 2 + 1
