@@ -194,6 +194,7 @@ def chain(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     for column in ("place", "following", "leaves"):
         placed = placed.withColumn(column, F.col(column) + F.col("base"))
     nodes = stage(placed.drop("total", "base"))
+    local.drop()
 
     # Entries of splits: a file's start, and wherever a pointer leaves another split to.
     starts = nodes.where("place = 0 AND named").select("file", "place")
@@ -220,7 +221,8 @@ def chain(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
         nodes.select("file", F.col("end").alias("following")).distinct()
     )
     known = known.withColumn("__known", F.lit(True))
-    records = walked.join(known, ["file", "following"], "left").select(
+    # As many rows as records, and no key more than once: always by sort-merge.
+    records = walked.join(known.hint("merge"), ["file", "following"], "left").select(
         "file", "at", "place", "following", F.coalesce("__known", F.lit(False)).alias("intact")
     )
     return records, nodes.select("file", "at", "place")
@@ -246,13 +248,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """
     table = stage(_candidates(spark, path))
     records, candidates = chain(table)
-    whole = table.join(stage(records), ["file", "at"])
+    # Spark would take the size of the compressed file for that of the rows.
+    whole = table.join(stage(records).hint("merge"), ["file", "at"])
     # A block that its row does not hold whole goes on in the rows after it.
     after = F.col("bytes") - F.col("head_bytes") - len(_END)
     spans = stage(whole.where(after < F.col("body_bytes")).select("file", "at", "place", "following"))
     # Mostly few rows, so that they are broadcast by their size and no payload is shuffled.
     gathered = stage(_gather(table, candidates, spans))
-    whole = whole.join(gathered, ["file", "at"], "left")
+    whole = whole.join(gathered.hint("merge"), ["file", "at"], "left")
     payload = _block(F.coalesce("gathered", "value"))
     sha1 = F.when(F.col("gathered").isNull(), F.col("sha1")).otherwise(base32_sha1(_block(F.col("gathered"))))
     size = F.when(F.col("gathered").isNull() & (after < F.col("body_bytes")), after).otherwise(F.col("body_bytes"))
