@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.llm.simhash import simhash_components
+
 #: Keeps a bin's number beside its residual in one integer.
 _BIN_BITS = 40
 
@@ -135,3 +137,19 @@ def with_sizes(docs: DataFrame, *, text: str = "text") -> DataFrame:
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     plain = F.lower(F.regexp_replace(F.trim(F.col(text)), r"[ \t\n\x0B\f\r]+", " "))
     return docs.withColumns({"n_words": F.size(words).cast("bigint"), "cluster": F.md5(plain.cast("binary"))})
+
+
+def with_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``(doc_id, source, n_words, cluster)``: ``with_sizes`` with near-duplicates as clusters.
+
+    The cluster is the document's group of ``simhash_components``: copies of the same words, and
+    texts whose fingerprints differ in few bits, in chains. Null and empty texts are one group, of size 0.
+    Every row is returned, also those that repeat an id, each with the group of its own text (groups whose
+    smallest rows agree in id, source and size are one cluster). Texts are read once.
+    """
+    sized = with_sizes(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")))
+    keyed = sized.select(F.struct("doc_id", "source", "n_words").alias("key"), "text")
+    groups = simhash_components(keyed, doc_id="key")
+    # A group is named by its smallest row, null fields included.
+    name = F.to_json("component_id", {"ignoreNullFields": "false"})
+    return groups.select("doc_id.*", name.alias("cluster"))

@@ -11,7 +11,7 @@ from termloom.llm.license_scan import scan_licenses
 from termloom.llm.line_dedup import remove_boilerplate
 from termloom.llm.manifest import digest_of, fold_proofs, merkle_proofs
 from termloom.llm.neighbours import nearest_neighbours
-from termloom.llm.packing import pack_documents, with_sizes
+from termloom.llm.packing import pack_documents, with_groups
 from termloom.llm.quality import fit_quality, score_quality
 from termloom.llm.ranked_search import ranked_search
 from termloom.llm.simhash import simhash_components
@@ -80,8 +80,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into bins of 2048 words, one of a source and of a copy's group each."""
-    return pack_documents(with_sizes(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+    """All documents packed into bins of 2048 words, one of a source and of a near-duplicate group each."""
+    return pack_documents(with_groups(_table(spark, sf_dir, "documents")))
 
 
 def op7_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

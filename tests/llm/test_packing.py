@@ -2,8 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from termloom.llm.packing import BestFit, pack_documents, with_sizes
-from termloom.llm.queries import op6_packing
+from termloom.llm.packing import BestFit, pack_documents, with_groups, with_sizes
+from termloom.llm.queries import op5_simhash, op6_packing
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -35,7 +35,18 @@ def check(rows, docs, capacity=2048):
 def test_query(spark):
     docs = with_sizes(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()
     assert all(d["n_words"] == len((d["text"] or "").split()) for d in docs)
-    bins = check(op6_packing(spark, SF_DIR).collect(), docs)
+    packed = op6_packing(spark, SF_DIR).collect()
+    bins = check(packed, docs)
+    # Near-duplicates conflict as well, not only copies of the same words.
+    group = {r["doc_id"]: r["component_id"] for r in op5_simhash(spark, SF_DIR).collect()}
+    check(packed, [d.asDict() | {"cluster": group[d["doc_id"]]} for d in docs])
+    own = {r["doc_id"]: r for r in with_groups(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()}
+    assert {d: r["n_words"] for d, r in own.items()} == {d["doc_id"]: d["n_words"] for d in docs}
+    by_name = {}
+    for d, r in own.items():
+        by_name.setdefault(r["cluster"], set()).add(d)
+    assert sorted(map(min, by_name.values())) == sorted(set(group.values()))
+    assert all(group[d] == min(members) for members in by_name.values() for d in members)
     hottest = max(sum(d["source"] == s for d in docs) for s in {d["source"] for d in docs})
     total = sum(d["n_words"] for d in docs)
     assert max(hottest, total / 2048) <= len(bins) <= 1.3 * max(hottest, total / 2048) + 5
@@ -66,3 +77,17 @@ def test_shards_hot_sources_and_odd_rows(spark):
     assert pack_documents(docs.limit(0)).count() == 0
     again = docs.where("doc_id = 702").unionByName(docs.where("doc_id = 702"))
     assert sorted(r["start"] for r in pack_documents(again).collect()) == [0, 5]
+
+
+def test_groups_of_odd_rows(spark):
+    same = "one two three four five six seven eight nine ten"
+    rows = [(1, same, "a"), (2, same.upper(), "b"), (2, "quite another text altogether it is", "b"), (None, same, None),
+            (3, None, "a"), (4, "", "a"), (5, same, "a"), (5, same, "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "'x' AS cluster", "1 AS key")
+    got = with_groups(docs).collect()
+    assert len(got) == len(rows)
+    copies = {r["cluster"] for r in got if r["n_words"] == 10}
+    assert len(copies) == 1 and len({r["cluster"] for r in got}) == 3
+    assert with_groups(docs.limit(0)).count() == 0
+    packed = pack_documents(with_groups(docs)).where("bin IS NOT NULL").collect()
+    assert len({(r["shard"], r["bin"]) for r in packed if r["length"] == 10}) == 5
