@@ -29,6 +29,7 @@ def sample_labelled(
     order = (F.xxhash64("__id"), F.col("__id"))
     parts = [single.where(F.col("__label") == value).orderBy(*order).limit(rows // 2) for value in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # bounded by ``rows``
-    found = docs.join(chosen, F.col(doc_id) == F.col("__id"))
-    texts = found.groupBy("__id", "__label").agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("__text"))
+    whole = docs.select(F.col(doc_id).alias("__of"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    found = whole.join(chosen, F.col("__of") == F.col("__id"))
+    texts = found.groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
     return texts.select(F.col("__text").alias("text"), F.col("__label").alias("label")), share

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.staging import stage
+from termloom.llm.staging import free_name, stage
 from termloom.operators.joins import same_value
 
 #: Sketches of 2**12 registers have a relative standard error of 1.04 / 64.
@@ -45,6 +45,20 @@ def site_spread(lines: DataFrame, min_sites: int) -> DataFrame:
     return sure.unionByName(exact.where(F.col("sites") >= min_sites).select("key"))
 
 
+def _places(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """The places of the lines ``keys``, written out for both of their uses."""
+    found = lines.select("id", "content", "n", "key").join(
+        keys.withColumnRenamed("key", "of"), same_value(F.col("key"), F.col("of")), "left_semi"
+    )
+    return stage(found)
+
+
+def _others(found: DataFrame, first: list[str], same: Column) -> DataFrame:
+    """The places but the first of each line, and those that are the ``same`` as the first."""
+    least = found.groupBy("key").agg(F.min(F.struct(*first)).alias("first")).withColumnRenamed("key", "of")
+    return found.join(least, same_value(F.col("key"), F.col("of"))).where(~same)
+
+
 def remove_boilerplate(
     docs: DataFrame,
     *,
@@ -53,6 +67,8 @@ def remove_boilerplate(
     site: str = "source",
     min_sites: int = 3,
     min_words: int = 3,
+    long_words: int | None = None,
+    copies_alike: bool = False,
     removed: str | None = None,
 ) -> DataFrame:
     """``docs`` without the lines that stand on at least ``min_sites`` distinct sites.
@@ -62,31 +78,47 @@ def remove_boilerplate(
     ``doc_id``, then the first line) stays, so no text is lost altogether. ``removed`` names a
     column for the number of lines taken out.
 
+    ``long_words`` makes every line of more words go by its spread over texts as well: on two
+    distinct texts or more, whatever their sites, it stays only in the text of its first place.
+    A text and its exact copies count as one and keep or lose such a line together, so they stay
+    copies of each other; a line that one text repeats stays there. ``copies_alike`` does so for
+    all lines: the first place stays in exact copies of its text too, for a later stage to remove.
+
     All rows are returned, if need be with an empty text; null texts stay null. Rows with a null
     ``doc_id`` come first in order; rows that repeat a ``doc_id`` and text are treated alike.
+    Other columns may have any names.
     """
     keys = docs.select(F.col(doc_id).alias("id"), F.col(site).alias("site"), F.col(text).alias("text"))
     numbered = keys.select("id", "site", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    enough = F.size(F.split(F.trim("line"), r"\s+")) >= min_words
-    lines = stage(numbered.where(enough).select("id", "content", "n", "site", line_key(F.col("line")).alias("key")))
-    spread = stage(site_spread(lines.select("key", F.col("site").cast("string").alias("site")), min_sites))
-    found = lines.select("id", "content", "n", "key").join(
-        spread.withColumnRenamed("key", "of"), same_value(F.col("key"), F.col("of")), "left_semi"
+    words = F.size(F.split(F.trim("line"), r"\s+"))
+    long = [] if long_words is None else [(words > long_words).alias("long")]
+    lines = stage(
+        numbered.where(words >= min_words).select("id", "content", "n", "site", line_key(F.col("line")).alias("key"), *long)
     )
-    found = stage(found)
-    place = F.struct("id", "n")
-    first = found.groupBy("key").agg(F.min(place).alias("first")).withColumnRenamed("key", "of")
-    others = found.join(first, same_value(F.col("key"), F.col("of"))).where(~F.struct("id", "n").eqNullSafe(F.col("first")))
+    spread = stage(site_spread(lines.select("key", F.col("site").cast("string").alias("site")), min_sites))
+    found = _places(lines, spread)
+    if copies_alike:
+        same_place = (F.col("content") == F.col("first.content")) & (F.col("n") == F.col("first.n"))
+        others = _others(found, ["id", "n", "content"], same_place)
+    else:
+        others = _others(found, ["id", "n"], F.struct("id", "n").eqNullSafe(F.col("first")))
+    if long:
+        passages = lines.where("long")
+        texts = stage(site_spread(passages.select("key", F.col("content").cast("string").alias("site")), 2))
+        same_text = F.col("content") == F.col("first.content")
+        passed = _others(_places(passages, texts), ["id", "n", "content"], same_text)
+        others = others.select("id", "content", "n").unionByName(passed.select("id", "content", "n"))
+    own_id, own_content, gone_lines = (free_name(docs, name) for name in ("__id", "__content", "__gone"))
     gone = stage(
-        others.groupBy(F.col("id").alias("__id"), F.col("content").alias("__content")).agg(F.collect_set("n").alias("__gone"))
+        others.groupBy(F.col("id").alias(own_id), F.col("content").alias(own_content)).agg(F.collect_set("n").alias(gone_lines))
     )
     # Rows that repeat an id and text are one row of this table, whatever their number.
-    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__content"))
+    same = F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_content))
     # Always by sort-merge, so that the plan is the same at every size.
     joined = docs.join(gone.hint("merge"), same, "left")
-    kept = F.expr(f"filter(split(`{text}`, '\\n'), (line, n) -> NOT array_contains(__gone, n))")
-    shorter = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    columns = [shorter.alias(c) if c == text else F.col(c) for c in docs.columns if c != removed]
+    kept = F.expr(f"filter(split(`{text}`, '\\n'), (line, n) -> NOT array_contains(`{gone_lines}`, n))")
+    shorter = F.when(F.col(gone_lines).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    columns = [shorter.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != removed]
     if removed:
-        columns.append(F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint").alias(removed))
+        columns.append(F.coalesce(F.size(gone_lines), F.lit(0)).cast("bigint").alias(removed))
     return joined.select(*columns)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.components import connected_components
-from termloom.llm.staging import byte_texts, stage
+from termloom.llm.staging import byte_texts, free_name, stage
 from termloom.operators.joins import same_value
 
 SEGMENT_BITS = 32
@@ -218,6 +218,7 @@ def keep_one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
 
 def without_others(docs: DataFrame, groups: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is their ``component_id`` in ``groups``, or null."""
-    others = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"))
+    gone = free_name(docs, "__gone")
+    others = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone))
     # Always by sort-merge, so that the plan is the same at every size.
-    return docs.join(others.distinct().hint("merge"), docs[doc_id] == F.col("__gone"), "left_anti")
+    return docs.join(others.distinct().hint("merge"), docs[doc_id] == F.col(gone), "left_anti")

@@ -31,3 +31,11 @@ def stage(df: DataFrame) -> DataFrame:
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
     """The values of a binary column, nulls as empty."""
     return (value or b"" for value in column.to_pylist())
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

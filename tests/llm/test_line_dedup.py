@@ -7,22 +7,30 @@ from termloom.llm.queries import ORACLES, op2_line_dedup
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def plain(rows, min_sites=3, min_words=3):
+def plain(rows, min_sites=3, min_words=3, long_words=None, alike=False):
     """rows: (doc_id, site, text); first places by (doc_id, line)."""
     key = lambda line: " ".join(line.lower().split())
-    sites, first = {}, {}
+    sites, texts, first = {}, {}, {}
     for doc, site, text in rows:
         for n, line in enumerate((text or "").split("\n")):
             k = key(line)
             if len(k.split(" ")) >= min_words:
                 sites.setdefault(k, set()).update([site] if site is not None else [])
-                first[k] = min(first.get(k, (1 << 60, 0)), (doc, n))
+                texts.setdefault(k, set()).add(text)
+                first[k] = min(first.get(k, (1 << 60, 0, "")), (doc, n, text))
+
+    def stays(doc, n, text, k):
+        if k not in first:
+            return True
+        place = first[k][1:] == (n, text) if alike else first[k][:2] == (doc, n)
+        if len(sites[k]) >= min_sites and not place:
+            return False
+        passage = long_words is not None and len(k.split(" ")) > long_words and len(texts[k]) > 1
+        return not passage or first[k][2] == text
+
     out = []
     for doc, _, text in rows:
-        kept = [
-            line for n, line in enumerate((text or "").split("\n"))
-            if len(sites.get(key(line), ())) < min_sites or first[key(line)] == (doc, n)
-        ]
+        kept = [line for n, line in enumerate((text or "").split("\n")) if stays(doc, n, text, key(line))]
         out.append((doc, None if text is None else "\n".join(kept)))
     return sorted(out, key=str)
 
@@ -66,3 +74,53 @@ def test_an_empty_site_is_a_site(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
     got = sorted(((r["doc_id"], r["text"]) for r in remove_boilerplate(docs).collect()), key=str)
     assert got == plain(rows) and got[1][1] == "own line x"
+
+
+def test_long_passages_go_by_texts(spark):
+    passage, other = " ".join(f"w{i}" for i in range(6)), " ".join(f"v{i}" for i in range(6))
+    short = "one two three four five"
+    rows = [
+        (1, "hot", f"own first\n{passage}\n{short}"),
+        (2, "hot", f"own first\n{passage}\n{short}"),  # an exact copy keeps what the first keeps
+        (3, "hot", f"{passage.upper()}\nown third\n{short}"),
+        (4, "hot", f"{passage.upper()}\nown third\n{short}"),  # and loses what its original loses
+        (5, None, f"{other}\n{other}"), (5, None, f"{other}\n{other}"),  # one text
+        (6, "a", f"own sixth\n{passage}\n\n  {passage}"), (7, "b", passage), (8, "c", f"own\n{passage}"), (9, "d", None), (10, "d", ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for sites in (3, 99):
+        out = remove_boilerplate(docs, min_sites=sites, long_words=5).collect()
+        got = sorted(((r["doc_id"], r["text"]) for r in out), key=str)
+        assert got == plain(rows, min_sites=sites, long_words=5)
+    texts = {r["doc_id"]: r["text"] for r in out}
+    assert texts[1] == texts[2] == rows[0][2] and texts[3] == texts[4] == f"own third\n{short}" and texts[7] == ""
+    assert remove_boilerplate(docs.limit(0), long_words=5).count() == 0
+
+
+def test_copies_alike(spark):
+    line = "one two three"
+    rows = [(i, s, f"{line}\nown text\n{line}") for i, s in enumerate("abc")] + [(i, s, f"{line}\nother") for i, s in enumerate("abd", 5)]
+    rows += [(9, "e", None), (10, None, line), (10, None, line)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in remove_boilerplate(docs, copies_alike=True).collect()), key=str)
+    assert got == plain(rows, alike=True)
+    texts = dict(got)
+    assert texts[0] == texts[1] == texts[2] == f"{line}\nown text" and texts[5] == texts[7] == "other"
+
+
+def test_long_passages_on_the_table(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r["doc_id"], r["source"], r["text"]) for r in docs.collect()]
+    got = sorted(((r["doc_id"], r["text"]) for r in remove_boilerplate(docs, long_words=50, copies_alike=True).collect()), key=str)
+    assert got == plain(rows, long_words=50, alike=True)
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, s, "one two three\nown line " + "x" * i) for i, s in enumerate("abcd")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    extra = docs.withColumns({c: F.lit(c) for c in ("__id", "__Content", "__gone", "___gone", "first", "of", "a.b")})
+    out = remove_boilerplate(extra, long_words=50, removed="n_removed")
+    assert out.columns == [*extra.columns, "n_removed"]
+    got = out.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == plain(rows)
+    assert all(r["__gone"] == "__gone" and r["a.b"] == "a.b" and r["__Content"] == "__Content" for r in got)

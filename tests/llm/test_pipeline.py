@@ -29,7 +29,7 @@ def test_stages(spark):
 
     lines = stage(functions["line_dedup"](spark, good, SF_DIR))
     got = sorted(((r["doc_id"], r["text"]) for r in lines.collect()), key=str)
-    assert got == plain_lines([(d, r["source"], r["text"]) for d, r in rows.items()])
+    assert got == plain_lines([(d, r["source"], r["text"]) for d, r in rows.items()], long_words=50, alike=True)
     assert lines.columns == columns and lines.where(F.length("text") != F.col("n_chars")).count() == 0
 
     kept = stage(functions["simhash"](spark, lines, SF_DIR))
@@ -62,3 +62,16 @@ def test_empty_table(spark):
         out = function(spark, docs, SF_DIR)
         assert out.count() == 0
         docs = stage(out) if name != "packing" else docs
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    names = ("__quality", "__gone", "__id", "__of", "__text", "score", "n_words", "spans", "cluster", "of")
+    extra = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    plain = docs
+    for name, function in corpus_pipeline.STAGES:
+        plain, extra = (stage(function(spark, d, SF_DIR)) for d in (plain, extra))
+        assert sorted(map(tuple, extra.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str), name
+        if name != "packing":
+            assert extra.columns == [*docs.columns, *names]
+            assert all(r[c] == f"{c}{r['doc_id']}" for r in extra.collect() for c in names)
