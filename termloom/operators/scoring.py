@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.scoring import DEFAULT_N_DOCS, idf_value
@@ -26,6 +26,16 @@ def _with_df(tf: DataFrame, df: DataFrame) -> DataFrame:
     return tf.join(known, same_value(F.col("term"), F.col("known_term")), "left").drop("known_term")
 
 
+def _least_common(df: DataFrame, k: int) -> DataFrame:
+    """The smallest df that no more than ``k`` terms reach, as a table of one row; null if there is none.
+
+    The window has a row for each distinct df only; n of these need at least n * n / 2 rows of counts.
+    """
+    alike = df.groupBy("df").agg(F.count(F.lit(1)).alias("terms"))
+    reached = F.sum("terms").over(Window.orderBy(F.desc("df")))
+    return alike.select("df", reached.alias("reached")).where(F.col("reached") <= k).agg(F.min("df"))
+
+
 def tfidf(
     tf: DataFrame,
     df: DataFrame,
@@ -39,16 +49,14 @@ def tfidf(
     grows with the corpus, so the adaptive planner broadcasts it only if its
     measured size allows and otherwise splits the partitions of very common terms.
 
-    With ``common_terms`` = k, terms with more than 1/k of the sum of all df are
-    scored through a broadcast. There are fewer than k of them whatever the corpus,
-    yet they make up most of ``tf``, which is then not shuffled; the other terms are
+    With ``common_terms`` = k, the terms of highest df, k at most, are scored through a
+    broadcast. They make up most of ``tf``, which is then not shuffled; the other terms are
     joined as above. ``tf`` is read twice for it, so it should be a written table.
     """
     df = df.select("term", "df")
     if not common_terms:
         return _scored(_with_df(tf, df), n_docs)
-    total = df.agg(F.sum("df")).scalar()
-    common = F.broadcast(df.where(F.col("df") * common_terms > total))
+    common = F.broadcast(df.where(F.col("df") >= _least_common(df, common_terms).scalar()))
     rest = tf.join(common.select("term"), "term", "left_anti")
     return _scored(tf.join(common, "term").unionByName(_with_df(rest, df)), n_docs)
 

@@ -40,16 +40,20 @@ def read_corpus_parquet(
     doc_id: str = "doc_id",
     text: str = "text",
     partitions: int | None = None,
+    by_document: bool = False,
 ) -> DataFrame:
     """One row per row of a parquet table: ``(doc_id, text)``.
 
     Without ``partitions`` nothing is shuffled: tasks follow the splits of the files. A number
     deals the rows out to so many tasks, for files too few or too unsplittable to occupy a
-    cluster.
+    cluster. With ``by_document`` they are dealt out by id, so that counts by document and term
+    are added up where they are counted and not shuffled again. All rows of one id, and all
+    without one, then meet in one task, so that is for tables with few rows of each.
     """
     table = spark.read.parquet(*([path] if isinstance(path, str) else path))
     rows = table.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.repartition(partitions) if partitions else rows
+    keys = ["doc_id"] if by_document else []
+    return rows.repartition(partitions, *keys) if partitions else rows
 
 
 def count_documents(corpus: DataFrame) -> DataFrame:

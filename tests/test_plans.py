@@ -11,6 +11,7 @@ from termloom import (
     explode_tokens,
     pos_frequency_stripes,
     pos_stripes,
+    read_corpus_parquet,
     remove_stopwords,
     row_stripes,
     shared_folder,
@@ -139,6 +140,56 @@ def test_only_uncommon_terms_are_shuffled_for_their_score(spark):
     assert re.search(r"SortMergeJoin .*LeftOuter", plan)
 
 
+def exchanges(df):
+    """What each shuffle of the final plan deals out by, and its rows, after running the query."""
+    query, found = df._jdf.queryExecution(), []
+    query.toRdd().count()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "Exchange":
+            found.append((node.outputPartitioning().toString(), node.metrics().apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(query.executedPlan())
+    return found
+
+
+def test_as_many_terms_as_allowed_are_scored_without_a_shuffle(spark, tmp_path):
+    # One term in every document, twenty in 1 to 20 of them, a hundred in one each.
+    text = "array_join(concat(array('all'), transform(filter(sequence(1, 20), k -> k > id), k -> repeat('x', k)), if(id < 100, array(repeat('y', id + 1)), array())), ' ')"
+    corpus = spark.range(0, 1000, 1, 4).selectExpr("id AS doc_id", f"{text} AS text")
+    tf = write_table(term_frequency(corpus), str(tmp_path / "tf"))
+    df = write_table(document_frequency(tf), str(tmp_path / "df"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        # Each number of terms allowed, and the rows of the terms beyond it; terms of one df go together.
+        for k, others in ((121, 0), (120, 101), (19, 103), (1, 310)):
+            scores = tfidf(tf, df, common_terms=k)
+            assert sum(n for by, n in exchanges(scores) if "struct(value, term" in by) == others, k
+            assert sorted(scores.collect()) == sorted(tfidf(tf, df).collect())
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_documents_dealt_out_by_id_are_counted_without_another_shuffle(spark, tmp_path):
+    path = str(tmp_path / "corpus")
+    rows = [(i % 50, f"cat cats dog{i}") for i in range(100)] + [(None, "cat"), (None, "cats cat"), (7, None)]
+    spark.createDataFrame(rows, "doc_id int, text string").write.parquet(path)
+    dealt = term_frequency(read_corpus_parquet(spark, path, partitions=3, by_document=True), stem=True)
+    assert [by.split("#")[0] for by, _ in exchanges(dealt)] == ["hashpartitioning(doc_id"]
+    assert sorted(dealt.collect(), key=str) == sorted(term_frequency(read_corpus_parquet(spark, path), stem=True).collect(), key=str)
+    assert {(None, "cat", 3), (7, "cat", 4)} <= {tuple(r) for r in dealt.collect()}
+
+
 def test_a_very_common_term_is_split_in_the_join(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
