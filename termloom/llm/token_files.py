@@ -9,11 +9,11 @@ import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterator, Sequence
-from itertools import compress, pairwise
-from operator import not_
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -157,29 +157,67 @@ class Frame:
         return [None] * (high - low - len(known)) + [x + self.least for x in self.names.select_many(known).tolist()]
 
 
-#: White space other than blanks and line feeds, and the runs that are not cut into single ones.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Runs of white space that are not cut into single characters.
 _LONG_SPACE = re.compile(r"\s\s\s|\s\s\Z")
-_PAIRS = ("  ", " \n", "\n ", "\n\n")
+#: What texts with such a run contain: two blanks or line feeds, or other white space.
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_SUSPECT = f"[ \n][ \n]|[{_SPACES}]"
 #: Distinct pieces, and their characters, that a task remembers at most.
 _REMEMBERED, _REMEMBERED_CHARS = 400_000, 16 << 20
+#: Bytes of texts whose pieces are looked up together, unless one text is longer.
+_TOGETHER = 4 << 20
 
 
-def pieces_of(text: str) -> list[str] | None:
-    """Keys of the pieces of a text before blanks and line feeds; None if it cannot be cut.
+def whole_texts(texts: pa.Array, added: Sequence[str] = ()) -> list[int]:
+    """Places of the texts that cannot be cut, and of those with an ``added`` token."""
+    suspect = pc.match_substring_regex(texts, _SUSPECT)
+    special = pa.array(np.zeros(len(texts), dtype=bool))
+    for token in added:
+        special = pc.or_(special, pc.match_substring(texts, token))
+    special = special.to_numpy(zero_copy_only=False)
+    places = np.flatnonzero(pc.or_(suspect, special).to_numpy(zero_copy_only=False)).tolist()
+    return [i for i in places if special[i] or _LONG_SPACE.search(texts[i].as_py())]
+
+
+def _bytes_in(characters: str) -> np.ndarray:
+    return np.isin(np.arange(256), list(characters.encode()))
+
+
+_SOLID = _bytes_in(string.ascii_letters + string.digits)
+_MARK = _bytes_in(string.punctuation)
+#: Second bytes of letters whose first is 0xC3.
+_LATIN = np.isin(np.arange(256), [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+
+
+def cuts_of(data: np.ndarray) -> np.ndarray:
+    """Whether a text can be cut before each of its bytes.
 
     A byte-level encoder of this kind takes a blank together with the word after it, and of a
     run of white space before a word all but the last character first. So a text can be cut
     before each blank and around each line feed unless a run of three or more, or of two at
-    the end, is to be encoded as a whole. Keys: ``word`` stands for a blank and the word,
-    a leading line feed for itself, two for the start of the text.
+    the end, is to be encoded as a whole. Nor does it join marks to a letter or digit before.
     """
-    if (any(pair in text for pair in _PAIRS) or _OTHER_SPACE.search(text)) and _LONG_SPACE.search(text):
-        return None
-    pieces = text.replace("\n", " \n").split(" ")
-    # A text that begins with a line feed has an empty first piece.
-    pieces[0] = f"\n\n{pieces[0]}"
-    return pieces
+    cut = (data == 0x20) | (data == 0x0A)
+    solid = _SOLID[data[:-1]]
+    solid[1:] |= (data[:-2] == 0xC3) & _LATIN[data[1:-1]]
+    cut[1:] |= (data[:-1] == 0x0A) | (solid & _MARK[data[1:]])
+    return cut
+
+
+def pieces_of(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The pieces of texts, one text after another, and where each text's pieces end."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(texts) + 1, texts.offset * 4)
+    if ends[0] == ends[-1]:
+        return pa.array([], pa.string()), np.zeros(len(texts), dtype=np.int64)
+    data = data.slice(ends[0], ends[-1] - ends[0])
+    ends = ends - ends[0]
+    cut = cuts_of(np.frombuffer(data, np.uint8))
+    cut[ends[:-1][ends[:-1] < len(cut)]] = True
+    places = np.flatnonzero(cut)
+    bounds = np.append(places, len(cut)).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(places), pa.py_buffer(bounds), data)
+    return pieces, np.searchsorted(places, ends[1:])
 
 
 def byte_characters() -> dict[int, str]:
@@ -192,84 +230,65 @@ def byte_characters() -> dict[int, str]:
 def piecewise(
     encode: Callable[[str], list[int]], encode_word: Callable[[str], list[int]], width: int, added: Sequence[str] = ()
 ):
-    """An encoder of lists of texts to bytes of ids that encodes each distinct piece once.
+    """An encoder of arrays of texts to bytes of ids that encodes each distinct piece once.
+
+    Pieces are told apart by Arrow; only distinct ones of some texts are looked up.
 
     ``encode`` takes any text, ``encode_word`` the byte characters of a word of letters alone,
-    with or without a blank before it. A text that contains one of the ``added`` tokens is
+    with or without a blank before it. Texts may not be null. A text that contains one of the ``added`` tokens is
     encoded as a whole.
     """
     kind = {2: "H", 4: "I"}[width]
     table = byte_characters()
     blank = table[0x20]
-
-    def packed(ids) -> bytes:
-        return array(kind, ids).tobytes()
-
-    feed = packed(encode("\n"))
-    marks: dict[str, bytes] = {}
     # Two generations: what is used stays, and no more than twice the limits is held.
     known: dict[str, bytes] = {}
     older: dict[str, bytes] = {}
     size = 0
 
-    def word(core: str, start: str) -> bytes:
-        mapped = core if core.isascii() else core.encode().decode("latin-1").translate(table)
-        return array(kind, encode_word(start + mapped)).tobytes()
-
-    def ids_of(key: str) -> bytes:
-        if key.isalpha():
-            return word(key, blank)
-        led, core, start = b"", key, blank
-        if key[:1] == "\n":  # the start of the text, or a line feed
-            led, core = (b"", key[2:]) if key[:2] == "\n\n" else (feed, key[1:])
-            start = ""
-        letters = core.rstrip(string.punctuation)
-        if not letters.isalpha():
-            text = " " + core if start else core
-            return led + (packed(encode(text)) if text else b"")
-        ids = known.get(letters) if start else None
-        if ids is None:
-            ids = word(letters, start)
-            if start:
-                known[letters] = ids
-        # Marks after letters are a piece of their own.
-        end = core[len(letters) :]
-        if not end:
-            return led + ids
-        if len(end) > 8:
-            return led + ids + packed(encode(end))
-        if end not in marks:
-            if len(marks) > _REMEMBERED:
-                marks.clear()
-            marks[end] = packed(encode(end))
-        return led + ids + marks[end]
-
-    def learn(keys: set[str]) -> dict[str, bytes]:
+    def ids_of(piece: str) -> bytes:
+        if not (piece[1:] if piece[0] == " " else piece).isalpha():
+            return array(kind, encode(piece)).tobytes()
+        mapped = piece.replace(" ", blank) if piece.isascii() else piece.encode().decode("latin-1").translate(table)
+        return array(kind, encode_word(mapped)).tobytes()
+
+    def ids_of_all(pieces: list[str]) -> list[bytes]:
         nonlocal known, older, size
-        if len(known) + len(keys) > _REMEMBERED or size > _REMEMBERED_CHARS:
+        found = list(map(known.get, pieces))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if len(known) + len(gaps) > _REMEMBERED or size > _REMEMBERED_CHARS:
             known, older, size = {}, known, 0
-        for key in keys:
-            ids = older.get(key)
-            known[key] = ids_of(key) if ids is None else ids
-            size += len(key)
-        return known
-
-    def run(texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            pieces = None if any(token in text for token in added) else pieces_of(text)
-            if pieces is None:
-                out.append(packed(encode(text)))
-                continue
-            parts = list(map(known.get, pieces))
-            if None in parts:
-                gaps = list(compress(range(len(parts)), map(not_, parts)))
-                missing = {pieces[i] for i in gaps}
-                fresh = learn(missing)
-                for i in gaps:
-                    parts[i] = fresh[pieces[i]]
-            out.append(b"".join(parts))
-        return out
+        for i in gaps:
+            piece = pieces[i]
+            ids = older.get(piece)
+            found[i] = known[piece] = ids_of(piece) if ids is None else ids
+            size += len(piece)
+        return found
+
+    def together(texts: pa.StringArray) -> list[bytes]:
+        whole = whole_texts(texts, added)
+        if whole:
+            kept = np.ones(len(texts), dtype=bool)
+            kept[whole] = False
+            out = iter(together(texts.filter(pa.array(kept))))
+            return [next(out) if cut else array(kind, encode(texts[i].as_py())).tobytes() for i, cut in enumerate(kept.tolist())]
+        pieces, ends = pieces_of(texts)
+        pieces = pieces.dictionary_encode()
+        ids = ids_of_all(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(ids, pa.large_binary()).take(pieces.indices)
+        _, offsets, data = ids.buffers()
+        bounds = np.frombuffer(offsets, np.int64, len(ids) + 1)[ends].tolist()
+        data = memoryview(data or b"")
+        return [data[a:b].tobytes() for a, b in pairwise([0, *bounds])]
+
+    def run(texts: pa.Array) -> Iterator[bytes]:
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + _TOGETHER, side="right")))
+            yield from together(texts.slice(at, stop - at).cast(pa.string()))
+            at = stop
 
     return run
 
@@ -323,7 +342,8 @@ def write_token_files(
     where they are written. A frame holds about ``frame_bytes`` of ids (or one document) and is
     a file of its own. ``width`` is 2 for vocabularies up to 65,536 ids, else 4. The file is
     written by Spark's text sink, which ends each frame with a line feed, so a task that fails
-    leaves nothing behind. The tokenizer must be a byte-level one that cuts words before blanks.
+    leaves nothing behind. The tokenizer must be a byte-level one that cuts words before blanks
+    and never joins marks to a letter or digit before them.
     """
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -344,20 +364,16 @@ def write_token_files(
             return pa.record_batch([pa.array([frame], pa.large_binary()).cast(pa.binary())], ["frame"])
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                coded = encode(texts[at : at + 256])
-                for key, own, ids in zip(
-                    batch.column(0)[at : at + 256].to_pylist(), batch.column(2)[at : at + 256].to_pylist(), coded, strict=True
-                ):
-                    if held and (own != shard_now or size + len(ids) > frame_bytes):
-                        yield packed()
-                        number = number + 1 if own == shard_now else 0
-                        held_ids, held, size = [], [], 0
-                    shard_now = own
-                    held_ids.append(key)
-                    held.append(ids + end)
-                    size += len(ids) + width
+            keys, shards = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for key, own, ids in zip(keys, shards, encode(batch.column(1)), strict=True):
+                if held and (own != shard_now or size + len(ids) > frame_bytes):
+                    yield packed()
+                    number = number + 1 if own == shard_now else 0
+                    held_ids, held, size = [], [], 0
+                shard_now = own
+                held_ids.append(key)
+                held.append(ids + end)
+                size += len(ids) + width
         if held:
             yield packed()
 

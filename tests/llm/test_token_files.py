@@ -3,11 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from termloom.llm.queries import op4_token_files
-from termloom.llm.token_files import EliasFano, Frame, pack_frame, read_token_files, write_token_files
+from termloom.llm.token_files import EliasFano, Frame, pack_frame, piecewise, read_token_files, write_token_files
 from termloom.sinks import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,6 +64,39 @@ def test_added_tokens_in_texts(spark):
     assert got == expected(rows, Tokenizer.from_file(PATH))
 
 
+def coder(tokenizer, calls):
+    def encode(text):
+        calls.append(text)
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode_word(word):
+        calls.append(word)
+        return [token.id for token in tokenizer.model.tokenize(word)]
+
+    return piecewise(encode, encode_word, 2, ["<|endoftext|>"])
+
+
+def test_each_word_is_encoded_once(tokenizer):
+    texts = [f"Word{a} other{a}\nWord{b} élevé{b} été{a}" for a in (",", ".", "!?", "") for b in (";", "...", "%%%")]
+    calls = []
+    run = coder(tokenizer, calls)
+    for part in (texts[:5], texts[5:]):
+        got = list(run(pa.array(part)))
+        assert got == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in part]
+    # Words without a blank, with one, marks and the line feed, whatever stands beside them.
+    assert len(calls) == len(set(calls)) == 1 + 3 + 6 + 1
+
+
+def test_random_texts(tokenizer):
+    parts = ["a", "Ab", "é", "×", "÷", "ß", "漢", "。", "9", "12", " ", " ", "  ", "\n", "\n", "\t", "\xa0", "\x1c", "'", "'s", "'ll", ".", ",",
+             "!", "-", "_", "’s", "🙂", "<|endoftext|>", "the", "of", "É", "²", "ª"]
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(6000)]
+    wanted = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        assert list(coder(tokenizer, [])(pa.array(["x", *texts, "y"], kind).slice(1, len(texts)))) == wanted
+
+
 def test_elias_fano():
     rng = random.Random(2)
     for values in ([], [0], [5], [0, 0, 0], list(range(1000)), sorted(rng.randrange(1 << 40) for _ in range(700)), [7] * 600 + [1 << 50]):
