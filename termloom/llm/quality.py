@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ _SHAPE = bytes(
 )
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 _BLANK = re.compile(rb"\s")
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: Words that a task remembers, and bytes of a text that are looked at in one go.
 _REMEMBERED, _PIECE = 300_000, 1 << 20
 #: Documents whose vectors are multiplied at a time, always so many.
@@ -40,12 +43,20 @@ _SHARPNESS, _LEAST = 32, 0.3
 
 
 def _mixed(codes: np.ndarray) -> np.ndarray:
-    codes = (codes ^ (codes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return codes ^ (codes >> np.uint64(32))
+    codes = codes ^ (codes >> np.uint64(29))
+    codes *= np.uint64(0xBF58476D1CE4E5B9)
+    codes ^= codes >> np.uint64(32)
+    return codes
 
 
 def _bucket(codes: np.ndarray, kind: int) -> np.ndarray:
-    return (_mixed(codes) % np.uint64(KINDS[kind])).astype(np.int64) + _STARTS[kind]
+    codes, size = _mixed(codes), KINDS[kind]
+    if size & (size - 1):
+        codes %= np.uint64(size)
+    else:
+        codes &= np.uint64(size - 1)
+    codes += np.uint64(_STARTS[kind])
+    return codes.view(np.int64)
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -59,59 +70,113 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
+def _run_buckets(lowered: np.ndarray) -> Iterator[np.ndarray]:
+    """Features of the runs of bytes of a text in lower case, ``_PIECE`` places at a time."""
+    for at in range(0, len(lowered), _PIECE):
+        part = lowered[at : at + _PIECE + _RUNS[-1][0] - 1].astype(np.uint64)
+        codes, size = part, 1
+        for wanted, kind in _RUNS:
+            while size < wanted and len(codes):
+                codes = codes[:-1] * np.uint64(0x100000001B3)
+                codes += part[size:]
+                size += 1
+            yield _bucket(codes[:_PIECE], kind)
+
+
 class FeatureCounter:
     """Counts the features of whole texts and remembers the hashes of words."""
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
-        self.hashes = np.zeros((_REMEMBERED, 2), dtype=np.uint64)
+        self.shapes: dict[bytes, int] = {}
+        self.numbers = np.zeros((_REMEMBERED, 4), dtype=np.uint64)
+
+    def _shape(self, word: bytes) -> int:
+        shape = word.translate(_SHAPE)
+        if (code := self.shapes.get(shape)) is None:
+            code = self.shapes[shape] = zlib.crc32(_RUN.sub(rb"\1", shape))
+        return code
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
-        """Hashes of the shape of each word and of the word in lower case."""
+        """Of distinct words the hashes of their shapes and in lower case, and the features of both."""
         known = self.known
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > len(self.hashes):
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > len(self.numbers):
             known.clear()
-            new = list(set(words))
-            if len(new) > len(self.hashes):
-                self.hashes = np.zeros((len(new), 2), dtype=np.uint64)
+            self.shapes.clear()
+            new = words
+            if len(new) > len(self.numbers):
+                self.numbers = np.zeros((len(new), 4), dtype=np.uint64)
         if new:
-            shapes = [zlib.crc32(_RUN.sub(rb"\1", w.translate(_SHAPE))) for w in new]
-            self.hashes[len(known) : len(known) + len(new)] = np.array([shapes, [zlib.crc32(w.lower()) for w in new]], dtype=np.uint64).T
+            codes = np.array([[self._shape(w) for w in new], [zlib.crc32(w.lower()) for w in new]], dtype=np.uint64)
+            own = self.numbers[len(known) : len(known) + len(new)]
+            own[:, :2] = codes.T
+            own[:, 2], own[:, 3] = _bucket(codes[0], 0), _bucket(codes[1], 1)
             known.update(zip(new, range(len(known), len(known) + len(new))))
-        return self.hashes[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
+        return self.numbers[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
+
+    def _words(self, parts: list[bytes]) -> list[np.ndarray]:
+        """The numbers of the words of each part; Arrow tells words apart, so that each is looked up once."""
+        data = np.frombuffer(b" ".join(parts), np.uint8)
+        kept = ~_SPACE[data]
+        begins = kept.copy()
+        begins[1:] &= ~kept[:-1]
+        letters = data[kept]
+        bounds = np.append(np.flatnonzero(begins[kept]), len(letters)).astype(np.int32)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(letters)]
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, buffers).dictionary_encode()
+        numbers = self._numbers(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy()]
+        ends = np.cumsum([len(part) + 1 for part in parts])
+        return np.split(numbers, np.searchsorted(np.flatnonzero(begins), ends[:-1]))
+
+    def buckets(self, texts: Iterable[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        """The number of a text and its features, as often as they occur; long texts come in parts."""
+        held: list[bytes] = []
+        size, done = 0, 0
+        for text in texts:
+            if held and size + len(text) > _PIECE:
+                yield from self._together(held, done)
+                done += len(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        yield from self._together(held, done)
+
+    def _together(self, texts: list[bytes], first: int) -> Iterator[tuple[int, np.ndarray]]:
+        if not texts:
+            return
+        # Pieces of one long text, or one piece of each of some texts.
+        groups = ([piece] for piece in _pieces(texts[0])) if len(texts) == 1 else [texts]
+        before = np.zeros((0, 4), dtype=np.uint64)
+        for group in groups:
+            for i, numbers in enumerate(self._words(group)):
+                if len(texts) > 1:
+                    before = numbers[:0]
+                # With the last word of the piece before.
+                both = np.concatenate([before, numbers])
+                shapes, lowered = both[:, 0], both[:, 1]
+                pairs = shapes[:-1] * np.uint64(0x9E3779B97F4A7C15) + shapes[1:]
+                repeats = np.full(int((lowered[1:] == lowered[:-1]).sum()), _REPEAT)
+                own = [numbers[:, 2].astype(np.int64), _bucket(pairs, 0), numbers[:, 3].astype(np.int64), repeats]
+                before = numbers[-1:] if len(numbers) else before
+                if len(texts) > 1:
+                    own += _run_buckets(np.frombuffer(texts[i].lower(), np.uint8))
+                yield first + i, np.concatenate(own)
+        if len(texts) == 1:
+            for own in _run_buckets(np.frombuffer(texts[0].lower(), np.uint8)):
+                yield first, own
+
+    def many(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The features of each text, ascending, and their counts."""
+        for _, parts in groupby(self.buckets(texts), itemgetter(0)):
+            counts = np.bincount(next(parts)[1], minlength=FEATURES)
+            for _, part in parts:
+                counts += np.bincount(part, minlength=FEATURES)
+            has = np.flatnonzero(counts)
+            yield has, counts[has]
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The features of a text, ascending, and their counts."""
-        counts = np.zeros(FEATURES, dtype=np.int64)
-        buckets: list[np.ndarray] = []
-        before = np.zeros((0, 2), dtype=np.uint64)
-        for piece in _pieces(text):
-            if words := piece.split():
-                hashes = self._numbers(words)
-                shapes = np.concatenate([before[:, 0], hashes[:, 0]])
-                pairs = shapes[:-1] * np.uint64(0x9E3779B97F4A7C15) + shapes[1:]
-                same = np.concatenate([before[:, 1], hashes[:, 1]])
-                counts[_REPEAT] += int((same[1:] == same[:-1]).sum())
-                buckets += [_bucket(codes, kind) for codes, kind in ((hashes[:, 0], 0), (pairs, 0), (hashes[:, 1], 1))]
-                if len(text) > _PIECE:
-                    counts += np.bincount(np.concatenate(buckets), minlength=FEATURES)
-                    buckets = []
-                before = hashes[-1:]
-        lowered = np.frombuffer(text.lower(), np.uint8)
-        for size, kind in _RUNS:
-            for at in range(0, max(0, len(lowered) - size + 1), _PIECE):
-                part = lowered[at : at + _PIECE + size - 1].astype(np.uint64)
-                codes = np.zeros(len(part) - size + 1, dtype=np.uint64)
-                for i in range(size):
-                    codes = codes * np.uint64(0x100000001B3) + part[i : i + len(codes)]
-                buckets.append(_bucket(codes, kind))
-                if len(text) > _PIECE:
-                    counts += np.bincount(buckets.pop(), minlength=FEATURES)
-        if buckets:
-            counts += np.bincount(np.concatenate(buckets), minlength=FEATURES)
-        has = np.flatnonzero(counts)
-        return has, counts[has]
+        return next(self.many([text]))
 
 
 def without_words(text: bytes) -> bytes:
@@ -166,7 +231,7 @@ class NeighbourModel:
     familiar: float
 
     def latent(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return (_weighted(features, counts, self.rarity)[:, None] * self.directions[features]).sum(axis=0)
+        return np.einsum("i,ij->j", _weighted(features, counts, self.rarity), self.directions[features])
 
     def scores(self, latent: np.ndarray) -> np.ndarray:
         """Votes of the nearest labelled texts against a doubt that counts as label 0.
@@ -202,9 +267,12 @@ def feature_frequencies(docs: DataFrame, *, text: str = "text") -> tuple[np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, seen = FeatureCounter(), np.zeros(FEATURES + 1, dtype=np.int64)
         for batch in batches:
-            for content in byte_texts(batch.column(0)):
-                seen[count(content)[0]] += 1
-                seen[FEATURES] += 1  # documents
+            for _, parts in groupby(count.buckets(byte_texts(batch.column(0))), itemgetter(0)):
+                has = np.zeros(FEATURES + 1, dtype=bool)
+                has[FEATURES] = True  # documents
+                for _, part in parts:
+                    has[part] = True
+                seen += has
         has = np.flatnonzero(seen)
         yield pa.record_batch([pa.array(has), pa.array(seen[has])], ["feature", "n"])
 
@@ -330,7 +398,7 @@ def score_quality(
         for batch in batches:
             for at in range(0, batch.num_rows, _BLOCK):
                 part = batch.slice(at, _BLOCK)
-                latent = np.stack([model.latent(*count(t)) for t in byte_texts(part.columns[-1])])
+                latent = np.stack([model.latent(*made) for made in count.many(byte_texts(part.columns[-1]))])
                 yield pa.record_batch([*part.columns[:-1], pa.array(model.scores(latent))], names=schema.names)
 
     scored = rows.mapInArrow(run, schema)

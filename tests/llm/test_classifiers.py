@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,6 +81,51 @@ def test_features_of_long_texts_are_those_of_the_whole():
     assert unbroken[1].sum() == 2 + 4 * quality._PIECE + 10 - 6
 
 
+def plain_features(text):
+    """Counts of all features, one word and one run after another."""
+    bucket = lambda code, kind: int(quality._bucket(np.array([code % 2**64], dtype=np.uint64), kind)[0])
+    out, before = Counter(), None
+    for word in text.split():
+        shape, own = zlib.crc32(quality._RUN.sub(rb"\1", word.translate(quality._SHAPE))), zlib.crc32(word.lower())
+        out.update([bucket(shape, 0), bucket(own, 1)])
+        if before:
+            out[bucket(before[0] * 0x9E3779B97F4A7C15 + shape, 0)] += 1
+            out[quality._REPEAT] += own == before[1]
+        before = shape, own
+    lowered = text.lower()
+    for size, kind in ((3, 2), (5, 3)):
+        for i in range(len(lowered) - size + 1):
+            code = 0
+            for byte in lowered[i : i + size]:
+                code = (code * 0x100000001B3 + byte) % 2**64
+            out[bucket(code, kind)] += 1
+    return sorted((feature, n) for feature, n in out.items() if n)
+
+
+def test_words_are_looked_up_once_for_many_texts(monkeypatch):
+    class Seen(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Seen.asked += 1
+            return super().__getitem__(word)
+
+    count = quality.FeatureCounter()
+    count.known = Seen()
+    made = list(count.many([b"The cat saw the cat cat.", b"the cat", b""] * 50))
+    assert Seen.asked == 5 and len(made) == 150
+    assert all(np.array_equal(a, b) for x, y in zip(made, made[3:]) for a, b in zip(x, y, strict=True))
+    rng = random.Random(12)
+    parts = ["the", "The", "a.", "xx", "É", "9", "'s", " ", " ", "\n", "\t", "\x0b", "\x1c", "\xa0", "漢"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))).encode() for _ in range(40)]
+    texts[20] = b"of the The x" * 30
+    # One text that is cut into pieces, among groups of several.
+    monkeypatch.setattr(quality, "_PIECE", 150)
+    monkeypatch.setattr(quality, "_REMEMBERED", 10)
+    for made, text in zip(quality.FeatureCounter().many(texts), texts, strict=True):
+        assert list(zip(*(x.tolist() for x in made), strict=True)) == plain_features(text)
+
+
 ODD = [(1, None), (2, ""), (3, "  "), (4, "the the the " * 20_000), (None, "nothing of note"), (5, "x" * 100_000), (5, "again")]
 
 
